@@ -3,14 +3,15 @@
 Which rows are emitted depends on the previous emission, so the rule is a chain through the
 whole history of a key. It is made parallel within a key by cutting time into blocks:
 
-1. the distinct times of each key and block are gathered with a map-side combine,
+1. the distinct seconds of each key and block are gathered with a map-side combine,
 2. each block reports where a chain would leave it, for every way a chain can enter it,
 3. those short reports are passed through in time order, giving each block its entry,
 4. each block replays its own chain from that entry.
 
-Only step 3 runs in order over a key. It sees one line per block unless alerts follow each
-other without a pause, and at most the distinct times of one retention per block then.
-A block holds distinct times only: with alert times in whole seconds no more than its length.
+Times count in whole seconds, as the readings' epoch seconds do, so a block of six hours
+holds at most 21,600 of them however many rows a key has. Only step 3 runs in order over a
+key. It streams one pair per block where alerts pause for a retention time, and never more
+than one pair per second of retention and block.
 """
 
 from collections.abc import Iterator
@@ -23,13 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from gustline.sources.shared import write_stage
+
 # What identifies a repeat, and for how many seconds it is silenced.
 KEYS = ("city", "alert_type", "anomaly")
 RETENTION_SECONDS = 1800
 ORDER = ("country", "id", "alert_uid")
 
 BLOCK_SECONDS = 6 * 3600
-MICROS = 1_000_000
 NEVER = np.iinfo(np.int64).min // 2
 
 
@@ -78,30 +80,32 @@ def suppress_repeats(
     """The rows that are emitted: the first of a key, then the first one at least
     `retention_seconds` after the last emitted one, and so on.
 
-    Of several rows of a key at one time the smallest by `order` is emitted. A row without a
-    time repeats only an equal one. `rows` is read twice; give a written table or a cheap plan.
+    Of several rows of a key in one second the first by `time` and `order` is emitted. A row
+    without a time repeats only an equal one. `rows` is read twice; give a written table or a
+    cheap plan. The emitted seconds are written to the shared folder, so that Spark knows their
+    size before it chooses how to join them to the rows.
     """
-    retention = retention_seconds * MICROS
-    block_length = max(block_seconds, retention_seconds) * MICROS
+    block_length = max(block_seconds, retention_seconds)
     key_names = [f"_key{i}" for i in range(len(keys))]
     key_texts = [F.col(key).cast("string") for key in keys]
     key_fields = [StructField(name, StringType()) for name in key_names]
     kept_fields = [*key_fields, StructField("_kept_at", LongType())]
 
-    moment = F.unix_micros(F.col(time).cast("timestamp"))
+    second = F.unix_seconds(F.col(time).cast("timestamp"))
+    block = F.col("second") - F.pmod("second", F.lit(block_length))
     keyed = rows.select(
-        *[text.alias(name) for name, text in zip(key_names, key_texts)], moment.alias("moment")
-    ).filter("moment IS NOT NULL")
+        *[text.alias(name) for name, text in zip(key_names, key_texts)], second.alias("second")
+    )
     blocks = (
-        keyed.withColumn("block", F.floor(F.col("moment") / block_length).cast("bigint"))
-        .groupBy(*key_names, "block")
-        .agg(F.sort_array(F.collect_set("moment")).alias("times"))
+        keyed.filter("second IS NOT NULL")
+        .groupBy(*key_names, block.alias("block"))
+        .agg(F.sort_array(F.collect_set("second")).alias("times"))
     )
 
     def report(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             reports = [
-                block_exits(np.asarray(times), block * block_length, retention)
+                block_exits(np.asarray(times), block, retention_seconds)
                 for times, block in zip(batch["times"], batch["block"])
             ]
             batch = batch.drop(columns="times")
@@ -115,8 +119,8 @@ def suppress_repeats(
             for i, (*row_key, until, exits) in enumerate(zip(*columns)):
                 if row_key != key:
                     key, last = row_key, NEVER
-                entries[i] = last + retention
-                found = np.searchsorted(until, last + retention, side="left")
+                entries[i] = last + retention_seconds
+                found = np.searchsorted(until, last + retention_seconds, side="left")
                 if found < len(until):
                     last = int(exits[found])
             yield batch.drop(columns=["until", "exits"]).assign(free_from=entries)
@@ -124,7 +128,7 @@ def suppress_repeats(
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             kept = [
-                replay(np.asarray(times), free_from, retention)
+                replay(np.asarray(times), free_from, retention_seconds)
                 for times, free_from in zip(batch["times"], batch["free_from"])
             ]
             emitted = batch[key_names].assign(_kept_at=kept).explode("_kept_at")
@@ -143,14 +147,15 @@ def suppress_repeats(
     entered = blocks.join(entries, reduce(and_, same_block)).select(
         *[blocks[name] for name in key_names], "times", "free_from"
     )
-    kept = entered.mapInPandas(emit, StructType(kept_fields))
+    kept = write_stage(entered.mapInPandas(emit, StructType(kept_fields)), "kept")
 
     same_row = [text.eqNullSafe(kept[name]) for name, text in zip(key_names, key_texts)]
-    emitted = rows.join(kept, reduce(and_, same_row, moment == kept["_kept_at"]), "left").filter(
+    emitted = rows.join(kept, reduce(and_, same_row, second == kept["_kept_at"]), "left").filter(
         F.col("_kept_at").isNotNull() | F.col(time).isNull()
     )
-    # Rows at one time: one aggregate with a map-side combine instead of a ranking.
-    first_columns = [*order, *[c for c in rows.columns if c not in (*order, *keys, time)]]
+    # One row per second, by an aggregate with a map-side combine instead of a ranking.
+    first_columns = [time, *order, *[c for c in rows.columns if c not in (time, *order, *keys)]]
     untimed = F.when(F.col(time).isNull(), F.struct(*first_columns)).alias("untimed")
-    first = emitted.groupBy(*keys, time, untimed).agg(F.min(F.struct(*first_columns)).alias("first"))
-    return first.select(*keys, time, "first.*").select(rows.columns)
+    first = F.min(F.struct(*first_columns)).alias("first")
+    chosen = emitted.groupBy(*keys, "_kept_at", untimed).agg(first)
+    return chosen.select(*keys, "first.*").select(rows.columns)

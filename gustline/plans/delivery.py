@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from gustline.operators.alerts import explode_anomalies, identify
 from gustline.operators.notifications import enrich, render
 from gustline.operators.suppression import suppress_repeats
+from gustline.sources.shared import write_stage
 
 SAME_ALERT = ("city", "country", "alert_type", "alert_time", "alert_uid")
 
@@ -30,5 +31,9 @@ def notify(alerts: DataFrame, emitted: DataFrame, recipients: str = "") -> DataF
 
 
 def deliver(alerts: DataFrame, recipients: str = "") -> DataFrame:
-    """Suppress repeats and render the rest; `alerts` is read three times, so give a table."""
-    return notify(alerts, suppress_repeats(explode_anomalies(alerts)), recipients)
+    """Suppress repeats and render the rest; `alerts` is read three times, so give a table.
+
+    What was emitted is written first: its size then decides how it is joined to the alerts.
+    """
+    emitted = write_stage(suppress_repeats(explode_anomalies(alerts)), "emitted")
+    return notify(alerts, emitted, recipients)

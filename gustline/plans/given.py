@@ -4,6 +4,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, TimestampType
 
+from gustline.functions.times import event_time
+
 PLACES = 6
 
 
@@ -19,7 +21,7 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def as_readings(events: DataFrame) -> DataFrame:
     """Events as readings: the type is the city, the value and the number in the properties
-    give the metrics."""
+    give the metrics, and time counts in epoch seconds."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     us = F.col("event_type").isin("click", "view", "purchase")
     return events.withColumn("k", k).select(
@@ -33,7 +35,7 @@ def as_readings(events: DataFrame) -> DataFrame:
         F.nullif(F.col("k"), F.lit(13)).alias("humidity"),
         (10000 - F.col("k") * 100).alias("visibility"),
         (F.col("k") % 15).cast("double").alias("wind_speed"),
-        F.col("ts").cast("timestamp").alias("event_timestamp"),
+        event_time(F.unix_seconds(F.col("ts").cast("timestamp"))).alias("event_timestamp"),
     )
 
 

@@ -8,7 +8,8 @@ r AS (
          'cover ' || k AS weather_description,
          value / 5 - 2 AS temperature, NULLIF(985 + k % 60, 1000) AS pressure,
          NULLIF(k, 13) AS humidity, 10000 - k * 100 AS visibility,
-         CAST(k % 15 AS DOUBLE) AS wind_speed, ts AS event_timestamp, k
+         CAST(k % 15 AS DOUBLE) AS wind_speed,
+         date_trunc('second', ts) AS event_timestamp, k
   FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events) e
 )"""
 
@@ -122,6 +123,8 @@ kept AS (
   SELECT r.* FROM raised r JOIN emitted e
     ON r.city = e.city AND r.alert_type = e.alert_type AND r.anomaly = e.anomaly
    AND r.alert_time = e.t
+  QUALIFY row_number() OVER (PARTITION BY r.city, r.alert_type, r.anomaly, r.alert_time
+                             ORDER BY r.country, r.id) = 1
 )"""
 
 # Items of an alert in the order of the consumer: position, metric, value, message, time.
@@ -147,7 +150,7 @@ CHANGE_ITEMS = [
     ("visibility_change_anomaly IS NOT NULL", "'Visibility fluctuation'", "min_visibility || 'meter'",
      "'Sudden drop to below 2000 meter in the last 30 minutes'", "min_visibility_time"),
 ]
-MILLIS = "strftime(date_trunc('millisecond', {}), '%Y-%m-%dT%H:%M:%S.%g')"
+MILLIS = "strftime({}, '%Y-%m-%dT%H:%M:%S.%g')"
 _entries = [
     f"CASE WHEN {on} THEN {{'metric': {metric}, 'value': {value}, 'message': {message}, "
     f"'detected': CAST(NULL AS VARCHAR)}} END"
@@ -206,14 +209,6 @@ def _with(*parts: str, recursive: bool = False) -> str:
     return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n"
 
 
-def _millis(*names: str) -> str:
-    return ", ".join(f"date_trunc('millisecond', {name}) AS {name}" for name in names)
-
-
-_change_times = (
-    "max_temp_time", "min_temp_time", "max_wind_time", "min_pressure_time", "max_humid_time",
-    "min_visibility_time",
-)
 _rounded_alerts = "SELECT * REPLACE (round(temperature, 6) AS temperature, round(max_temp, 6) AS max_temp, round(min_temp, 6) AS min_temp)"
 _rounded_changes = "SELECT * REPLACE (round(max_temp, 6) AS max_temp, round(min_temp, 6) AS min_temp)"
 _rounded_flags = "SELECT * REPLACE (round(temperature, 6) AS temperature)"
@@ -247,15 +242,17 @@ FROM labelled""",
     "alert_suppression": _with(READINGS, ALERTS, RAISED, CHAIN, recursive=True)
     + "SELECT * FROM kept",
     "event_suppression": """
-WITH RECURSIVE c AS (
-  SELECT event_type, min(ts) AS t FROM events GROUP BY event_type
+WITH RECURSIVE e AS (SELECT event_type, ts, event_id, date_trunc('second', ts) AS s FROM events),
+c AS (
+  SELECT event_type, min(s) AS t FROM e GROUP BY event_type
   UNION ALL
-  SELECT c.event_type, (SELECT min(e.ts) FROM events e WHERE e.event_type = c.event_type
-                          AND e.ts >= c.t + INTERVAL 1800 SECOND)
+  SELECT c.event_type, (SELECT min(e.s) FROM e WHERE e.event_type = c.event_type
+                          AND e.s >= c.t + INTERVAL 1800 SECOND)
   FROM c WHERE c.t IS NOT NULL
 )
 SELECT e.event_type, e.ts, e.event_id
-FROM c JOIN events e ON e.event_type = c.event_type AND e.ts = c.t""",
+FROM c JOIN e ON e.event_type = c.event_type AND e.s = c.t
+QUALIFY row_number() OVER (PARTITION BY e.event_type, e.s ORDER BY e.ts, e.event_id) = 1""",
     "alert_enrichment": _with(READINGS, ALERTS, ITEMS) + """
 SELECT alert_type, city, country, event_timestamp, window_start, id,
        CAST(position - 1 AS INTEGER) AS position, anomalies[position].metric AS metric,
@@ -280,26 +277,22 @@ SELECT alert_type, city, country, alert_time, id, new_anomalies,
        CAST(len(anomalies) AS INTEGER) AS n_anomalies, title || ': ' || city AS subject,
        {BODY} AS body, 'ops@example.org, desk@example.org' AS recipients
 FROM titled""",
-    "alert_payload_json": _with(READINGS, ALERTS) + f"""
-SELECT * REPLACE (round(temperature, 6) AS temperature, round(max_temp, 6) AS max_temp,
-                  round(min_temp, 6) AS min_temp, {_millis('event_timestamp', *_change_times)})
-FROM alerts""",
-    "stream_threshold_alerts": _with(READINGS, THRESHOLDS) + f"""
-SELECT {_millis('event_timestamp')}, id, city, country, round(temperature, 6) AS temperature,
+    "alert_payload_json": _with(READINGS, ALERTS) + f"{_rounded_alerts} FROM alerts",
+    "stream_threshold_alerts": _with(READINGS, THRESHOLDS) + """
+SELECT event_timestamp, id, city, country, round(temperature, 6) AS temperature,
        pressure, visibility, wind_speed, temp_anomaly, pressure_anomaly, visibility_anomaly,
        wind_anomaly
 FROM thresholds""",
     "stream_change_alerts": _with(READINGS, CHANGES) + f"""
 SELECT city, country, window_start, round(max_temp, 6) AS max_temp,
-       round(min_temp, 6) AS min_temp, {_millis('max_temp_time', 'min_temp_time')},
+       round(min_temp, 6) AS min_temp, max_temp_time, min_temp_time,
        temp_rise, temp_fall, temp_change_anomaly, max_wind, wind_rise, wind_change_anomaly,
        min_pressure, pressure_drop, pressure_change_anomaly, max_humidity, humidity_rise,
        humidity_change_anomaly, min_visibility, visibility_change_anomaly
 FROM changes WHERE {CLOSED}""",
     "stream_alert_suppression": _with(
         READINGS, ALERTS.replace("FROM alerts\n)", f"""FROM (
-    SELECT * REPLACE ({_millis('event_timestamp')}) FROM alerts
-    WHERE alert_type = 'threshold' OR {CLOSED})
+    SELECT * FROM alerts WHERE alert_type = 'threshold' OR {CLOSED})
 )"""), RAISED, CHAIN, recursive=True) + "SELECT * FROM kept",
     "stream_late_data": _with(
         READINGS,

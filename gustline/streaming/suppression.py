@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructType
 
-from gustline.operators.suppression import KEYS, MICROS, NEVER, ORDER, RETENTION_SECONDS, replay
+from gustline.operators.suppression import KEYS, NEVER, ORDER, RETENTION_SECONDS, replay
 
 CLOCKS = ("event", "processing")
 
@@ -35,10 +35,9 @@ class _Repeats(StatefulProcessor):
                 yield given.head(1)
             return
         given = given.sort_values([self.time, *self.order], ignore_index=True)
-        times = given[self.time].astype("datetime64[us]").astype("int64").to_numpy()
-        retention = self.retention_seconds * MICROS
-        free_from = self.last.get()[0] + retention if self.last.exists() else NEVER
-        kept = replay(times, free_from, retention)
+        times = given[self.time].astype("datetime64[s]").astype("int64").to_numpy()
+        free_from = self.last.get()[0] + self.retention_seconds if self.last.exists() else NEVER
+        kept = replay(times, free_from, self.retention_seconds)
         if len(kept):
             self.last.update((int(kept[-1]),))
             yield given.iloc[times.searchsorted(kept, side="left")]
