@@ -126,7 +126,5 @@ def body() -> Column:
 def render(enriched: DataFrame, recipients: str | Column = "") -> DataFrame:
     """Add `subject`, `body` and the `recipients` line from a comma-separated list."""
     listed = F.lit(recipients) if isinstance(recipients, str) else recipients
-    names = F.transform(F.split(listed, ","), F.trim)
-    return enriched.withColumns(
-        {"subject": subject(), "body": body(), "recipients": F.array_join(names, ", ")}
-    )
+    line = F.array_join(F.split(listed, ","), ", ")
+    return enriched.withColumns({"subject": subject(), "body": body(), "recipients": line})
