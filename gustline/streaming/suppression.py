@@ -59,7 +59,8 @@ def suppress_repeats_stream(
     With the event clock it decides by `time`, so input in time order gives the batch result.
     Nothing is dropped as late: a row that arrives behind the last emission of its key is a
     repeat. State is one number per key. With the processing clock the first row of a key is
-    emitted and its state lives for the retention time.
+    emitted and its state lives for the retention time; such a query keeps running empty
+    batches to watch the clock, so it does not end by itself when the data available now is read.
 
     Memory holds what one trigger brings for one key; bound it by the source's rate options.
     Start the query under `jobs.state_settings`.
