@@ -22,6 +22,13 @@ def unpack_matches(raw: DataFrame, at: Column | None = None, value: str = "value
     return raw.select(matches.alias("m")).select("m.*", ingested_at(at).alias("ingested_at"))
 
 
+def match_texts(raw: DataFrame, value: str = "value") -> DataFrame:
+    """The JSON text of each match as it came, for checks of its keys."""
+    poll = F.from_json(F.col(value).cast("string"), "matches ARRAY<STRING>")
+    text = raw.select(F.explode(F.coalesce(poll["matches"], F.array())).alias("value"))
+    return text.withColumn("status", F.get_json_object("value", "$.status"))
+
+
 def is_finished() -> Column:
     return F.col("status").eqNullSafe(FINISHED)
 

@@ -164,6 +164,20 @@ ITEMS = "items AS (\n  SELECT *, [x FOR x IN [" + ",\n    ".join(_entries) + """
   FROM timed
 )"""
 
+TITLED = """
+news AS (
+  SELECT city, alert_type, alert_time, id, string_agg(anomaly, ',' ORDER BY anomaly) AS new_anomalies
+  FROM kept GROUP BY city, alert_type, alert_time, id
+),
+titled AS (
+  SELECT i.*, n.new_anomalies,
+         CASE i.alert_type WHEN 'threshold' THEN 'WEATHER WARNING: Exceeding Safety Limits'
+              ELSE 'WEATHER WARNING: Unusual Volatility' END AS title
+  FROM items i JOIN news n
+    ON i.city = n.city AND i.alert_type = n.alert_type AND i.alert_time = n.alert_time
+   AND i.id IS NOT DISTINCT FROM n.id
+)"""
+
 BODY = """'<html><body><h2>' || title || '</h2><ul><li>City: ' || city || ', ' || country
   || '</li><li>Alert type: ' || upper(alert_type) || ' ALERT</li>'
   || CASE WHEN alert_type = 'threshold' THEN '<li>Time detected: ' || {at} || 'Z</li>' ELSE '' END
@@ -205,6 +219,11 @@ matches AS (
 CLOSED = "window_start + INTERVAL 30 MINUTE <= (SELECT max(event_timestamp) FROM r) - INTERVAL 2 MINUTE"
 
 
+CLOSED_ALERTS = ALERTS.replace("FROM alerts\n)", f"""FROM (
+    SELECT * FROM alerts WHERE alert_type = 'threshold' OR {CLOSED})
+)""")
+
+
 def _with(*parts: str, recursive: bool = False) -> str:
     return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(parts) + "\n"
 
@@ -259,20 +278,8 @@ SELECT alert_type, city, country, event_timestamp, window_start, id,
        anomalies[position].value AS value, anomalies[position].message AS message,
        anomalies[position].detected AS detected
 FROM (SELECT *, unnest(range(1, len(anomalies) + 1)) AS position FROM items)""",
-    "alert_notifications": _with(
-        READINGS, ALERTS, RAISED, CHAIN, ITEMS, """
-news AS (
-  SELECT city, alert_type, alert_time, id, string_agg(anomaly, ',' ORDER BY anomaly) AS new_anomalies
-  FROM kept GROUP BY city, alert_type, alert_time, id
-),
-titled AS (
-  SELECT i.*, n.new_anomalies,
-         CASE i.alert_type WHEN 'threshold' THEN 'WEATHER WARNING: Exceeding Safety Limits'
-              ELSE 'WEATHER WARNING: Unusual Volatility' END AS title
-  FROM items i JOIN news n
-    ON i.city = n.city AND i.alert_type = n.alert_type AND i.alert_time = n.alert_time
-   AND i.id IS NOT DISTINCT FROM n.id
-)""", recursive=True) + f"""
+    "alert_notifications": _with(READINGS, ALERTS, RAISED, CHAIN, ITEMS, TITLED, recursive=True)
+    + f"""
 SELECT alert_type, city, country, alert_time, id, new_anomalies,
        CAST(len(anomalies) AS INTEGER) AS n_anomalies, title || ': ' || city AS subject,
        {BODY} AS body, 'ops@example.org, desk@example.org' AS recipients
@@ -290,10 +297,20 @@ SELECT city, country, window_start, round(max_temp, 6) AS max_temp,
        min_pressure, pressure_drop, pressure_change_anomaly, max_humidity, humidity_rise,
        humidity_change_anomaly, min_visibility, visibility_change_anomaly
 FROM changes WHERE {CLOSED}""",
-    "stream_alert_suppression": _with(
-        READINGS, ALERTS.replace("FROM alerts\n)", f"""FROM (
-    SELECT * FROM alerts WHERE alert_type = 'threshold' OR {CLOSED})
-)"""), RAISED, CHAIN, recursive=True) + "SELECT * FROM kept",
+    "stream_alert_suppression": _with(READINGS, CLOSED_ALERTS, RAISED, CHAIN, recursive=True)
+    + "SELECT * FROM kept",
+    "stream_notifications": _with(READINGS, CLOSED_ALERTS, RAISED, CHAIN, ITEMS, TITLED, recursive=True)
+    + """
+SELECT alert_type, city, country, alert_time, id, new_anomalies,
+       CAST(len(anomalies) AS INTEGER) AS n_anomalies, title || ': ' || city AS subject,
+       'ops@example.org, desk@example.org' AS recipients
+FROM titled""",
+    "stream_match_feed": _with(MATCHES) + """
+SELECT CASE WHEN status = 'FINISHED' THEN 'football_history' ELSE 'football_live' END AS topic,
+       CAST(id AS VARCHAR) AS key, status, "utcDate"
+FROM matches""",
+    "stream_reading_feed": _with(READINGS, PAYLOADS) + """
+SELECT * EXCLUDE (ingested_at), make_timestamp(dt * 1000000) AS event_timestamp FROM flat""",
     "stream_late_data": _with(
         READINGS,
         f"""

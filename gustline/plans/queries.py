@@ -19,16 +19,19 @@ from gustline.operators.windows import EVENT_TIME, WATERMARK, window_stats
 from gustline.plans import given
 from gustline.plans.delivery import deliver
 from gustline.plans.given import comparable
-from gustline.schemas import READING
+from gustline.schemas import MATCH, READING
 from gustline.sources import landing, tables
 from gustline.sources.envelopes import (
     alert_envelopes,
     decode_alerts,
     keyed_envelopes,
     read_readings,
+    read_topic,
 )
 from gustline.sources.shared import fresh_path, write_stage
 from gustline.sources.sinks import ALERT_TOPIC, write_rows
+from gustline.streaming.delivery import start_notifications
+from gustline.streaming.feeds import READING_TOPIC, publish_matches, publish_readings, start_feed
 from gustline.streaming.jobs import drain, start_detectors, state_settings
 from gustline.streaming.suppression import suppress_repeats_stream
 
@@ -203,6 +206,42 @@ def stream_alert_suppression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(spark.read.parquet(f"{out}/rows").drop("alert_uid"))
 
 
+def stream_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topic = _drained_topic(spark, sf_dir, "stream-notifications")
+    folders = [f"{topic}/threshold_detect", f"{topic}/change_detect"]
+    layout = spark.read.parquet(folders[0]).schema
+    messages = [spark.readStream.schema(layout).parquet(folder) for folder in folders]
+    alerts = decode_alerts(messages[0].unionByName(messages[1]))
+    out = f"{topic}-sent"
+    drain(start_notifications(alerts, f"{out}/checkpoint", out, RECIPIENTS, available_now=True))
+    # The texts show averages with all digits, which depend on the order of summing.
+    return comparable(spark.read.parquet(f"{out}/notifications").drop("body", "batch"))
+
+
+def stream_match_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = fresh_path(spark, "stream-matches")
+    given.match_polls(spark, sf_dir).write.text(f"{root}/polls")
+    polls = spark.readStream.text(f"{root}/polls")
+    drain(start_feed(polls, publish_matches, f"{root}/checkpoint", available_now=True,
+                     kind="files", folder=f"{root}/topics"))
+    sent = spark.read.parquet(f"{root}/topics")
+    fields = F.from_json(F.col("value").cast("string"), MATCH)
+    return sent.select("topic", F.col("key").cast("string").alias("key"), fields.alias("m")).select(
+        "topic", "key", F.col("m.status").alias("status"), F.col("m.utcDate").alias("utcDate"))
+
+
+def stream_reading_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = fresh_path(spark, "stream-readings")
+    given.reading_payloads(spark, sf_dir).write.text(f"{root}/payloads")
+    payloads = spark.readStream.text(f"{root}/payloads")
+    drain(start_feed(payloads, publish_readings, f"{root}/checkpoint", available_now=True,
+                     schema_id=SCHEMA_ID, kind="files", folder=f"{root}/topics"))
+    sent = read_topic(spark, READING_TOPIC, "files", folder=f"{root}/topics", streaming=False)
+    decoded = read_readings(sent, READING)
+    doubled = {name: F.col(name).cast("double") for name in ("temperature", "wind_speed")}
+    return comparable(decoded.withColumns(doubled).drop("ingested_at"))
+
+
 def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two arrivals on one checkpoint: first the clear readings of the first days, then all
     others, among them hazy ones of days whose windows are closed by then."""
@@ -391,6 +430,9 @@ QUERIES = {
     "stream_threshold_alerts": stream_threshold_alerts,
     "stream_change_alerts": stream_change_alerts,
     "stream_alert_suppression": stream_alert_suppression,
+    "stream_notifications": stream_notifications,
+    "stream_match_feed": stream_match_feed,
+    "stream_reading_feed": stream_reading_feed,
     "stream_late_data": stream_late_data,
     "payload_flatten": payload_flatten,
     "event_times": event_times,

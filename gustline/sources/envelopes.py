@@ -88,9 +88,10 @@ def keyed_envelopes(
     avro_schema: str | None = None,
     schema_id: int | None = None,
     key: str = "id",
+    fields: list[str] | None = None,
 ) -> DataFrame:
     """Key, value and topic of each record: text key, JSON or (framed) Avro value."""
-    fields = F.struct(*[F.col(name) for name in records.columns])
+    fields = F.struct(*[F.col(name) for name in fields or records.columns])
     value = to_avro(fields, avro_schema) if avro_schema else F.to_json(fields).cast("binary")
     if schema_id is not None:
         value = add_frame(value, schema_id)

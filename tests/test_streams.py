@@ -1,5 +1,6 @@
 """Streams on file feeds: late data, restart, suppression state, sinks."""
 
+import json
 from datetime import timedelta
 
 import pytest
@@ -16,6 +17,8 @@ from gustline.schemas import ALERT
 from gustline.sources.envelopes import decode_alerts
 from gustline.sources.shared import CHECKPOINT_SETTING, shared_folder
 from gustline.sources.sinks import write_alerts, write_console, write_rows
+from gustline.streaming.delivery import start_notifications
+from gustline.streaming.feeds import publish_matches, start_feed
 from gustline.streaming.jobs import SHUFFLES, drain, start_detectors, state_settings
 from gustline.streaming.suppression import suppress_repeats_stream
 
@@ -89,11 +92,15 @@ def test_detectors_stream_equals_batch(spark, folder):
     assert rounded(alerts).exceptAll(rounded(batch)).count() == 0
 
 
-def thresholds(frame):
+def threshold_layout(frame):
     """Threshold alerts in the layout of all alerts."""
     alerts = threshold_alerts(frame)
     missing = {f.name: F.lit(None).cast(f.dataType) for f in ALERT if f.name not in alerts.columns}
-    return explode_anomalies(alerts.withColumns(missing).select(ALERT.fieldNames()))
+    return alerts.withColumns(missing).select(ALERT.fieldNames())
+
+
+def thresholds(frame):
+    return explode_anomalies(threshold_layout(frame))
 
 
 def test_suppression_state_lives_across_batches(spark, folder):
@@ -124,6 +131,43 @@ def test_suppression_by_processing_clock(spark, folder):
     assert sorted(r.city for r in out.collect()) == ["a", "b", "c"]
 
 
+def match_poll(*matches):
+    return json.dumps({"matches": [{**MATCH_FIELDS, **m} for m in matches]})
+
+
+MATCH_FIELDS = dict(utcDate="2024-03-01T15:00:00Z", homeTeam={}, awayTeam={}, score={"winner": None})
+
+
+def test_match_feed_routes_and_checks(spark, folder):
+    def start(lines):
+        spark.createDataFrame([(line,) for line in lines], "v STRING").coalesce(1).write.mode("append").text(f"{folder}/polls")
+        query = start_feed(spark.readStream.text(f"{folder}/polls"), publish_matches, f"{folder}/checkpoint",
+                           available_now=True, kind="files", folder=f"{folder}/topics")
+        drain(query)
+
+    start([match_poll(dict(id=1, status="FINISHED"), dict(id=2, status="TIMED"), dict(id=3, status=None)), "{}"])
+    sent = spark.read.parquet(f"{folder}/topics")
+    assert sorted((r.topic, bytes(r.key)) for r in sent.collect()) == [
+        ("football_history", b"1"), ("football_live", b"2"), ("football_live", b"3")]
+    with pytest.raises(Exception, match="Missing one or more required fields"):
+        start([json.dumps({"matches": [{"id": 4, "status": "TIMED"}]})])
+    assert spark.read.parquet(f"{folder}/topics").count() == 3
+
+
+def test_notifications_are_gathered_by_alert(spark, folder):
+    arrivals = [
+        [reading(id=1, minute=0, temperature=40.0, wind_speed=12.0)],
+        [reading(id=1, minute=5, temperature=40.0), reading(id=1, minute=31, temperature=41.0)],
+    ]
+    for rows in arrivals:
+        stream = threshold_layout(feed(spark, folder, rows))
+        drain(start_notifications(stream, f"{folder}/checkpoint", folder, "a@example.org", available_now=True))
+    sent = spark.read.parquet(f"{folder}/notifications").orderBy("alert_time").collect()
+    assert [(r.alert_time.minute, r.new_anomalies, r.n_anomalies) for r in sent] == [
+        (0, "temp_anomaly,wind_anomaly", 2), (31, "temp_anomaly", 1)]
+    assert "41.0°C" in sent[1].body
+
+
 def test_clock_is_checked(spark):
     with pytest.raises(ValueError):
         suppress_repeats_stream(spark.range(1), clock="moon")
