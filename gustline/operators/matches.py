@@ -4,9 +4,10 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from gustline.functions.times import ingested_at
-from gustline.schemas import MATCH_POLL
+from gustline.schemas import MATCH_PAYLOAD, record
 
 # Topics, the final status, and days before and after the day of a poll.
 LIVE_TOPIC, HISTORY_TOPIC = "football_live", "football_history"
@@ -15,9 +16,18 @@ LIVE_DAYS = (0, 1)
 HISTORY_DAYS = (30, 0)
 
 
-def unpack_matches(raw: DataFrame, at: Column | None = None, value: str = "value") -> DataFrame:
-    """One row per match of each poll; a poll without matches gives none."""
-    poll = F.from_json(F.col(value).cast("string"), MATCH_POLL)
+def unpack_matches(
+    raw: DataFrame,
+    at: Column | None = None,
+    value: str = "value",
+    fields: tuple[str, ...] | None = None,
+) -> DataFrame:
+    """One row per match of each poll; a poll without matches gives none.
+
+    With `fields` the parser skips all others.
+    """
+    layout = StructType([f for f in MATCH_PAYLOAD if fields is None or f.name in fields])
+    poll = F.from_json(F.col(value).cast("string"), record(matches=ArrayType(layout)))
     matches = F.explode(F.coalesce(poll["matches"], F.array()))
     return raw.select(matches.alias("m")).select("m.*", ingested_at(at).alias("ingested_at"))
 

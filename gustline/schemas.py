@@ -55,7 +55,6 @@ MATCH_PAYLOAD = record(
     referees=ArrayType(record(id=LONG, name=TEXT, type=TEXT, nationality=TEXT)),
 )
 MATCH = StructType([*MATCH_PAYLOAD, StructField("ingested_at", TEXT, False)])
-MATCH_POLL = record(matches=ArrayType(MATCH_PAYLOAD))
 
 ENVELOPE = record(
     key=BINARY, value=BINARY, topic=TEXT, partition=INT, offset=LONG, timestamp=TIME

@@ -13,11 +13,18 @@ from gustline.operators.suppression import KEYS, NEVER, ORDER, RETENTION_SECONDS
 CLOCKS = ("event", "processing")
 
 
+def first_per_second(rows: pd.DataFrame, keys: list[str], time: str, order: list[str]) -> pd.DataFrame:
+    """Timed rows in order, without those that repeat a key within its second."""
+    timed = rows[rows[time].notna()].sort_values([time, *order], ignore_index=True)
+    marked = timed[keys].assign(_second=timed[time].astype("datetime64[s]"))
+    return timed[~marked.duplicated()]
+
+
 class _Repeats(StatefulProcessor):
-    """Keeps one number per key: the time of its last emission."""
+    """Keeps one number per key: the second of its last emission."""
 
-    def __init__(self, time: str, order: tuple[str, ...], retention_seconds: int, clock: str):
-        self.time, self.order = time, list(order)
+    def __init__(self, time: str, order: list[str], retention_seconds: int, clock: str):
+        self.time, self.order = time, order
         self.retention_seconds, self.clock = retention_seconds, clock
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -27,20 +34,39 @@ class _Repeats(StatefulProcessor):
     def handleInputRows(
         self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
     ) -> Iterator[pd.DataFrame]:
-        given = pd.concat(list(rows), ignore_index=True)
         if self.clock == "processing":
             # Spark drops the state when its time to live has passed.
-            if not self.last.exists():
-                self.last.update((timerValues.getCurrentProcessingTimeInMs(),))
-                yield given.head(1)
+            free = not self.last.exists()
+            for batch in rows:
+                if free and len(batch):
+                    self.last.update((timerValues.getCurrentProcessingTimeInMs(),))
+                    yield batch.head(1)
+                    free = False
             return
-        given = given.sort_values([self.time, *self.order], ignore_index=True)
-        times = given[self.time].astype("datetime64[s]").astype("int64").to_numpy()
+        # What is held grows with the distinct seconds of the trigger, not with its rows.
+        held, waiting, n_waiting = pd.DataFrame(), [], 0
+        for batch in rows:
+            untimed = batch[batch[self.time].isna()]
+            if len(untimed):
+                yield untimed
+            waiting.append(batch)
+            n_waiting += len(batch)
+            if n_waiting >= len(held):
+                held = self._compact(held, waiting)
+                waiting, n_waiting = [], 0
+        held = self._compact(held, waiting)
+        times = held[self.time].astype("datetime64[s]").astype("int64").to_numpy()
         free_from = self.last.get()[0] + self.retention_seconds if self.last.exists() else NEVER
         kept = replay(times, free_from, self.retention_seconds)
         if len(kept):
             self.last.update((int(kept[-1]),))
-            yield given.iloc[times.searchsorted(kept, side="left")]
+            yield held.iloc[times.searchsorted(kept, side="left")]
+
+    def _compact(self, held: pd.DataFrame, waiting: list[pd.DataFrame]) -> pd.DataFrame:
+        if not waiting:
+            return held
+        together = pd.concat([held, *waiting] if len(held) else waiting, ignore_index=True)
+        return first_per_second(together, [], self.time, self.order)
 
     def close(self) -> None:
         pass
@@ -62,13 +88,23 @@ def suppress_repeats_stream(
     emitted and its state lives for the retention time; such a query keeps running empty
     batches to watch the clock, so it does not end by itself when the data available now is read.
 
-    Memory holds what one trigger brings for one key; bound it by the source's rate options.
+    Before the shuffle each Arrow batch is reduced to one row per key and second, so a key that
+    holds most rows does not send them all to one task.
     Start the query under `jobs.state_settings`.
     """
     if clock not in CLOCKS:
         raise ValueError(f"clock must be one of {CLOCKS}")
+    names, ranked = list(keys), list(order)
+
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield first_per_second(batch, names, time, ranked)
+            yield batch[batch[time].isna()]
+
+    if clock == "event":
+        rows = rows.mapInPandas(combine, rows.schema)
     return rows.groupBy(*keys).transformWithStateInPandas(
-        _Repeats(time, order, retention_seconds, clock),
+        _Repeats(time, ranked, retention_seconds, clock),
         outputStructType=rows.schema,
         outputMode="append",
         timeMode="none" if clock == "event" else "processingTime",

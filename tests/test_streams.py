@@ -3,6 +3,7 @@
 import json
 from datetime import timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from rows import DAY, LAYOUT, reading, readings
@@ -20,7 +21,7 @@ from gustline.sources.sinks import write_alerts, write_console, write_rows
 from gustline.streaming.delivery import start_notifications
 from gustline.streaming.feeds import publish_matches, start_feed
 from gustline.streaming.jobs import SHUFFLES, drain, start_detectors, state_settings
-from gustline.streaming.suppression import suppress_repeats_stream
+from gustline.streaming.suppression import first_per_second, suppress_repeats_stream
 
 FEW = 2
 
@@ -116,6 +117,21 @@ def test_suppression_state_lives_across_batches(spark, folder):
     assert sorted((int((r.alert_time - DAY).total_seconds() // 60), r.id) for r in batch.collect()) == kept
 
 
+def test_rows_without_time_pass_the_state(spark, folder):
+    untimed = reading(id=5, temperature=40.0)[:-1] + (None,)
+    rows = [untimed, reading(id=6, temperature=40.0), reading(id=7, minute=1, temperature=40.0)]
+    out, _ = run(spark, folder, suppress_repeats_stream(thresholds(feed(spark, folder, rows))))
+    assert sorted(r.id for r in out.collect()) == [5, 6]
+
+
+def test_held_rows_are_one_per_second():
+    at = pd.Timestamp("2024-03-01")
+    rows = pd.DataFrame({"t": [at + pd.Timedelta(ms, "ms") for ms in (1500, 900, 100, 1200)] + [None],
+                         "k": ["a", "a", "b", "a", "a"], "o": [1, 2, 3, 4, 5]})
+    assert first_per_second(rows, ["k"], "t", ["o"]).o.tolist() == [3, 2, 4]
+    assert first_per_second(rows, [], "t", ["o"]).o.tolist() == [3, 4]
+
+
 def test_suppression_by_processing_clock(spark, folder):
     def hot(city, minute):
         return reading(city=city, minute=minute, temperature=40.0)
