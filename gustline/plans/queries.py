@@ -32,7 +32,7 @@ from gustline.sources.shared import fresh_path, write_stage
 from gustline.sources.sinks import ALERT_TOPIC, write_rows
 from gustline.streaming.delivery import start_notifications
 from gustline.streaming.feeds import READING_TOPIC, publish_matches, publish_readings, start_feed
-from gustline.streaming.jobs import drain, start_detectors, state_settings
+from gustline.streaming.jobs import DETECTORS, drain, start_detectors, state_settings
 from gustline.streaming.suppression import suppress_repeats_stream
 
 STAMP = datetime(2024, 2, 1)
@@ -170,6 +170,13 @@ def _drained_topic(spark: SparkSession, sf_dir: str, name: str) -> str:
     return f"{root}/topic"
 
 
+def _alert_stream(spark: SparkSession, topic: str) -> DataFrame:
+    thresholds, changes = (
+        read_topic(spark, ALERT_TOPIC, "files", folder=f"{topic}/{name}") for name in DETECTORS
+    )
+    return decode_alerts(thresholds.unionByName(changes))
+
+
 def stream_threshold_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = _drained_topic(spark, sf_dir, "stream-threshold")
     return comparable(
@@ -195,10 +202,7 @@ def stream_change_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_alert_suppression(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = _drained_topic(spark, sf_dir, "stream-suppression")
-    folders = [f"{topic}/threshold_detect", f"{topic}/change_detect"]
-    layout = spark.read.parquet(folders[0]).schema
-    messages = [spark.readStream.schema(layout).parquet(folder) for folder in folders]
-    alerts = decode_alerts(messages[0].unionByName(messages[1]))
+    alerts = _alert_stream(spark, topic)
     out = f"{topic}-emitted"
     with state_settings(spark):
         emitted = suppress_repeats_stream(explode_anomalies(alerts))
@@ -208,10 +212,7 @@ def stream_alert_suppression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = _drained_topic(spark, sf_dir, "stream-notifications")
-    folders = [f"{topic}/threshold_detect", f"{topic}/change_detect"]
-    layout = spark.read.parquet(folders[0]).schema
-    messages = [spark.readStream.schema(layout).parquet(folder) for folder in folders]
-    alerts = decode_alerts(messages[0].unionByName(messages[1]))
+    alerts = _alert_stream(spark, topic)
     out = f"{topic}-sent"
     drain(start_notifications(alerts, f"{out}/checkpoint", out, RECIPIENTS, available_now=True))
     # The texts show averages with all digits, which depend on the order of summing.
