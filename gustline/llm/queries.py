@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gustline.llm import decontaminate, fertility, simhash_docs
+from gustline.llm import decontaminate, fertility, fuzzy_lines, simhash_docs, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,24 +13,52 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats_digest(_table(spark, sf_dir, "documents"))
+
+
 def op5_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality(_table(spark, sf_dir, "documents"))
 
 
+def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.line_report(_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_docs.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
+    "op3_substrings": op3_substrings,
     "op5_fertility": op5_fertility,
+    "op8_fuzzy_lines": op8_fuzzy_lines,
     "op10_simhash": op10_simhash,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PLAIN = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
+_SPACED = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+
 ORACLES = {
+    "op3_substrings": f"""
+        WITH d AS (SELECT doc_id, {_SPACED} AS w FROM documents),
+        windows AS (
+            SELECT doc_id, k, array_to_string(w[k:k + 19], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS k FROM d)
+        ),
+        later AS (SELECT doc_id, k FROM (SELECT doc_id, k, row_number() OVER (PARTITION BY s ORDER BY doc_id, k) AS r FROM windows) WHERE r > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(k, k + 20)) AS p FROM later),
+        words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+        kept AS (
+            SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS listed
+            FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+        )
+        SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGINT AS n_removed, sha256(coalesce(listed, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)
+    """,
     "op2_decontaminate": f"""
         WITH d AS (SELECT doc_id, {_PLAIN} AS w FROM documents),
         i AS (SELECT item_id, {_PLAIN} AS w FROM benchmark),
