@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gustline.llm import decontaminate, fertility, fuzzy_lines, simhash_docs, substring_dedup
+from gustline.llm import decontaminate, fertility, fuzzy_lines, mixing, simhash_docs, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeats_digest(_table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_sizes(_table(spark, sf_dir, "documents"))
+
+
 def op5_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality(_table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_substrings": op3_substrings,
+    "op4_mixing": op4_mixing,
     "op5_fertility": op5_fertility,
     "op8_fuzzy_lines": op8_fuzzy_lines,
     "op10_simhash": op10_simhash,
