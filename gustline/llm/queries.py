@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gustline.llm import decontaminate, fertility, fuzzy_lines, mixing, simhash_docs, substring_dedup
+from gustline.llm import bloom_lm, decontaminate, fertility, fuzzy_lines, host_boilerplate, mixing, simhash_docs, substring_dedup, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,10 +25,23 @@ def op5_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality(_table(spark, sf_dir, "documents"))
 
 
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(url_rules.RULES, "rule string, verdict string")
+    return url_rules.judge_urls(_table(spark, sf_dir, "pages"), rules)
+
+
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_boilerplate.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_lines.line_report(_table(spark, sf_dir, "documents"))
 
 
+def op9_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_docs.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -38,7 +51,10 @@ QUERIES = {
     "op3_substrings": op3_substrings,
     "op4_mixing": op4_mixing,
     "op5_fertility": op5_fertility,
+    "op6_url_rules": op6_url_rules,
+    "op7_main_text": op7_main_text,
     "op8_fuzzy_lines": op8_fuzzy_lines,
+    "op9_bloom_lm": op9_bloom_lm,
     "op10_simhash": op10_simhash,
 }
 
