@@ -2,13 +2,17 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gustline.llm import bloom_lm, decontaminate, fertility, fuzzy_lines, host_boilerplate, mixing, simhash_docs, substring_dedup, url_rules
+from gustline.llm import bloom_lm, chat_repair, decontaminate, fertility, fuzzy_lines, host_boilerplate, mixing, simhash_docs, substring_dedup, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair(_table(spark, sf_dir, "conversations"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -47,6 +51,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_repair": op1_chat_repair,
     "op2_decontaminate": op2_decontaminate,
     "op3_substrings": op3_substrings,
     "op4_mixing": op4_mixing,
