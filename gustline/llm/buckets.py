@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 #: Bytes of text that lead to one bucket at most; a bucket's task holds about ten bytes for each word.
 TEXT_PER_BUCKET = 12_000_000
 #: Words of a chunk: documents are put together to so many before they are packed.
-CHUNK_WORDS = 2_000_000
+CHUNK_WORDS = 1_000_000
 
 
 def bucket_count(docs: DataFrame, text_col: str = "text") -> int:

@@ -183,7 +183,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A word goes if a window of `width` words covers it whose words stand in another window with a
     smaller doc_id, or at an earlier start of the same document. Three steps, each a shuffle of packed rows:
 
-    1. Documents, in chunks of two million words, give the hash of every window to the bucket of
+    1. Documents, in chunks of a million words, give the hash of every window to the bucket of
        the hash. A chunk sends the earliest of equal windows only, so a passage that stands in a
        third of all documents costs a few rows for each chunk, however often it occurs.
     2. A bucket, of bounded size since hashes are even, finds the windows that stand earlier elsewhere.

@@ -32,7 +32,7 @@ class WordHashes(dict):
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
 
-    def trim(self, most: int = 1_000_000) -> None:
+    def trim(self, most: int = 200_000) -> None:
         if len(self) > most:
             self.clear()
 
