@@ -52,14 +52,19 @@ def raised_anomalies() -> Column:
     )
 
 
-def explode_anomalies(alerts: DataFrame, whole: bool = False) -> DataFrame:
-    """One row per alert and raised anomaly, with the columns suppression needs.
-
-    With `whole` all fields of the alert come along, for a stream that renders them later.
-    """
-    raised = identify(alerts).withColumn("anomaly", F.explode(raised_anomalies()))
+def raise_each(identified: DataFrame, whole: bool = False) -> DataFrame:
+    """One row per raised anomaly of alerts that have their time and uid already."""
+    raised = identified.withColumn("anomaly", F.explode(raised_anomalies()))
     if whole:
         return raised
     return raised.select(
         "city", "country", "alert_type", "anomaly", "alert_time", "id", "alert_uid"
     )
+
+
+def explode_anomalies(alerts: DataFrame, whole: bool = False) -> DataFrame:
+    """One row per alert and raised anomaly, with the columns suppression needs.
+
+    With `whole` all fields of the alert come along, for a stream that renders them later.
+    """
+    return raise_each(identify(alerts), whole)

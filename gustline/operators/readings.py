@@ -5,6 +5,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from gustline.functions.times import event_time, ingested_at
 from gustline.schemas import READING, READING_PAYLOAD
@@ -19,8 +20,35 @@ PLACES = [
 ]
 
 
+CORRUPT = "_corrupt"
+# Why a payload is rejected.
+NOT_JSON, WRONG_TYPE = "not an object", "wrong type"
+
+
+def _parsed(value: str) -> Column:
+    layout = StructType([*READING_PAYLOAD.fields, StructField(CORRUPT, StringType())])
+    return F.from_json(F.col(value).cast("string"), layout, {"columnNameOfCorruptRecord": CORRUPT})
+
+
+def is_rejected(value: str = "value") -> Column:
+    """Whether a payload is no JSON object or has a field of a wrong type."""
+    parsed = _parsed(value)
+    return parsed.isNull() | parsed[CORRUPT].isNotNull()
+
+
+def payload_rejects(raw: DataFrame, value: str = "value") -> DataFrame:
+    """The payloads that make no reading, with all their columns and a `reason`."""
+    text = F.col(value).cast("string")
+    is_object = F.coalesce(F.json_object_keys(text).isNotNull(), F.lit(False))
+    reason = F.when(is_object, WRONG_TYPE).otherwise(NOT_JSON)
+    return raw.filter(is_rejected(value)).withColumn("reason", reason)
+
+
 def flatten_payloads(raw: DataFrame, at: Column | None = None, value: str = "value") -> DataFrame:
-    """One reading per JSON text; a missing key at any depth gives null."""
+    """One reading per JSON object; a missing key at any depth gives null.
+
+    Rejected payloads make no reading: `payload_rejects` returns them.
+    """
     paths = {
         "id": "j.id",
         "city": "j.name",
@@ -37,7 +65,7 @@ def flatten_payloads(raw: DataFrame, at: Column | None = None, value: str = "val
     columns["weather_main"] = sky["main"]
     columns["weather_description"] = sky["description"]
     columns["ingested_at"] = ingested_at(at)
-    parsed = raw.select(F.from_json(F.col(value).cast("string"), READING_PAYLOAD).alias("j"))
+    parsed = raw.select(_parsed(value).alias("j")).filter(f"j IS NOT NULL AND j.{CORRUPT} IS NULL")
     return parsed.select([columns[name].alias(name) for name in READING.fieldNames()])
 
 

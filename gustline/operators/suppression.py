@@ -3,20 +3,18 @@
 Which rows are emitted depends on the previous emission, so the rule is a chain through the
 whole history of a key. It is made parallel within a key by cutting time into blocks:
 
-1. the distinct seconds of each key and block are gathered with a map-side combine,
+1. the distinct times of each key and block are gathered with a map-side combine,
 2. each block reports where a chain would leave it, for every way a chain can enter it,
 3. those short reports are passed through in time order, giving each block its entry,
 4. each block replays its own chain from that entry.
 
-Times count in whole seconds, as the readings' epoch seconds do, so a block of six hours
-holds at most 21,600 of them however many rows a key has. Only step 3 runs in order over a
-key. It streams one pair per block where alerts pause for a retention time, and never more
-than one pair per second of retention and block.
+Times are exact, in microseconds. A block is six hours long; where a key has more different
+times in six hours than one task should hold, those six hours are cut into shorter blocks, for
+the steps hold for any cut of time. Only step 3 runs in order over a key. It streams one pair
+per block where alerts pause for a retention time, and never more than the times of a retention.
 """
 
 from collections.abc import Iterator
-from functools import reduce
-from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -32,6 +30,9 @@ RETENTION_SECONDS = 1800
 ORDER = ("country", "id", "alert_uid")
 
 BLOCK_SECONDS = 6 * 3600
+# Different times of a key that one block holds, about; denser stretches get shorter blocks.
+BLOCK_TIMES = 1_000_000
+SECOND = 1_000_000
 NEVER = np.iinfo(np.int64).min // 2
 
 
@@ -69,6 +70,21 @@ def replay(times: np.ndarray, free_from: int, retention: int) -> np.ndarray:
     return np.array(kept, dtype=np.int64)
 
 
+def _lengths(keyed: DataFrame, key_names: list[str], block_length: int, block_times: int) -> DataFrame:
+    """Add `block`, the start of the block each time lies in."""
+    coarse = F.col("at") - F.pmod("at", F.lit(block_length))
+    keyed = keyed.withColumn("coarse", coarse)
+    counted = keyed.groupBy(*key_names, "coarse").agg(F.approx_count_distinct("at").alias("n"))
+    parts = F.pow(F.lit(2), F.ceil(F.log2(F.col("n") / block_times))).cast("bigint")
+    cut = F.greatest(F.lit(1), F.floor(F.lit(block_length) / parts)).cast("bigint").alias("cut")
+    dense = write_stage(counted.filter(F.col("n") > block_times).select(*key_names, "coarse", cut), "dense")
+    if dense.isEmpty():
+        return keyed.withColumnRenamed("coarse", "block")
+    within = F.pmod(F.col("at") - F.col("coarse"), F.coalesce("cut", F.lit(block_length)))
+    joined = keyed.join(dense, [*key_names, "coarse"], "left")
+    return joined.withColumn("block", F.col("at") - within).drop("coarse", "cut")
+
+
 def suppress_repeats(
     rows: DataFrame,
     keys: tuple[str, ...] = KEYS,
@@ -76,36 +92,39 @@ def suppress_repeats(
     order: tuple[str, ...] = ORDER,
     retention_seconds: int = RETENTION_SECONDS,
     block_seconds: int = BLOCK_SECONDS,
+    block_times: int = BLOCK_TIMES,
 ) -> DataFrame:
     """The rows that are emitted: the first of a key, then the first one at least
     `retention_seconds` after the last emitted one, and so on.
 
-    Of several rows of a key in one second the first by `time` and `order` is emitted. A row
-    without a time repeats only an equal one. `rows` is read twice; give a written table or a
-    cheap plan. The emitted seconds are written to the shared folder, so that Spark knows their
-    size before it chooses how to join them to the rows.
+    Of several rows of a key with one time the first by `order` is emitted. Every row without a
+    time is emitted, as nothing tells what it repeats. `rows` is read three times; give a written
+    table or a cheap plan. Jobs start while the result is built: dense stretches and the emitted
+    times are written to the shared folder, so that Spark knows their size before it chooses how
+    to join them to the rows.
     """
-    block_length = max(block_seconds, retention_seconds)
+    block_length = max(block_seconds, retention_seconds) * SECOND
+    retention = retention_seconds * SECOND
     key_names = [f"_key{i}" for i in range(len(keys))]
-    key_texts = [F.col(key).cast("string") for key in keys]
+    # Keys as texts that are never null, so that the join and the grouping share one shuffle.
+    key_texts = [F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("")) for key in keys]
     key_fields = [StructField(name, StringType()) for name in key_names]
     kept_fields = [*key_fields, StructField("_kept_at", LongType())]
 
-    second = F.unix_seconds(F.col(time).cast("timestamp"))
-    block = F.col("second") - F.pmod("second", F.lit(block_length))
-    keyed = rows.select(
-        *[text.alias(name) for name, text in zip(key_names, key_texts)], second.alias("second")
+    at = F.unix_micros(F.col(time).cast("timestamp"))
+    keyed = rows.filter(F.col(time).isNotNull()).select(
+        *[text.alias(name) for name, text in zip(key_names, key_texts)], at.alias("at")
     )
     blocks = (
-        keyed.filter("second IS NOT NULL")
-        .groupBy(*key_names, block.alias("block"))
-        .agg(F.sort_array(F.collect_set("second")).alias("times"))
+        _lengths(keyed, key_names, block_length, block_times)
+        .groupBy(*key_names, "block")
+        .agg(F.sort_array(F.collect_set("at")).alias("times"))
     )
 
     def report(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             reports = [
-                block_exits(np.asarray(times), block, retention_seconds)
+                block_exits(np.asarray(times), block, retention)
                 for times, block in zip(batch["times"], batch["block"])
             ]
             batch = batch.drop(columns="times")
@@ -119,8 +138,8 @@ def suppress_repeats(
             for i, (*row_key, until, exits) in enumerate(zip(*columns)):
                 if row_key != key:
                     key, last = row_key, NEVER
-                entries[i] = last + retention_seconds
-                found = np.searchsorted(until, last + retention_seconds, side="left")
+                entries[i] = last + retention
+                found = np.searchsorted(until, last + retention, side="left")
                 if found < len(until):
                     last = int(exits[found])
             yield batch.drop(columns=["until", "exits"]).assign(free_from=entries)
@@ -128,7 +147,7 @@ def suppress_repeats(
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             kept = [
-                replay(np.asarray(times), free_from, retention_seconds)
+                replay(np.asarray(times), free_from, retention)
                 for times, free_from in zip(batch["times"], batch["free_from"])
             ]
             emitted = batch[key_names].assign(_kept_at=kept).explode("_kept_at")
@@ -143,19 +162,19 @@ def suppress_repeats(
         .sortWithinPartitions(*key_names, "block")
         .mapInPandas(pass_through, StructType([*block_fields, StructField("free_from", LongType())]))
     )
-    same_block = [blocks[name].eqNullSafe(entries[name]) for name in [*key_names, "block"]]
-    entered = blocks.join(entries, reduce(and_, same_block)).select(
-        *[blocks[name] for name in key_names], "times", "free_from"
-    )
+    entered = blocks.join(entries, [*key_names, "block"]).select(*key_names, "times", "free_from")
     kept = write_stage(entered.mapInPandas(emit, StructType(kept_fields)), "kept")
 
-    same_row = [text.eqNullSafe(kept[name]) for name, text in zip(key_names, key_texts)]
-    emitted = rows.join(kept, reduce(and_, same_row, second == kept["_kept_at"]), "left").filter(
-        F.col("_kept_at").isNotNull() | F.col(time).isNull()
+    timed = rows.filter(F.col(time).isNotNull()).withColumns(
+        {**dict(zip(key_names, key_texts)), "_kept_at": at}
+    )
+    # One row per time, by an aggregate with a map-side combine instead of a ranking.
+    first_columns = [*order, *[c for c in rows.columns if c not in order]]
+    chosen = (
+        timed.join(kept, [*key_names, "_kept_at"])
+        .groupBy(*key_names, "_kept_at")
+        .agg(F.min(F.struct(*first_columns)).alias("first"))
+        .select("first.*")
+        .select(rows.columns)
     )
-    # One row per second, by an aggregate with a map-side combine instead of a ranking.
-    first_columns = [time, *order, *[c for c in rows.columns if c not in (time, *order, *keys)]]
-    untimed = F.when(F.col(time).isNull(), F.struct(*first_columns)).alias("untimed")
-    first = F.min(F.struct(*first_columns)).alias("first")
-    chosen = emitted.groupBy(*keys, "_kept_at", untimed).agg(first)
-    return chosen.select(*keys, "first.*").select(rows.columns)
+    return chosen.unionByName(rows.filter(F.col(time).isNull()))

@@ -5,8 +5,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustline.operators.quality import READING_KEYS, validate
-from gustline.operators.readings import flatten_payloads
+from gustline.operators.quality import READING_KEYS, ValidationError, validate
+from gustline.operators.readings import flatten_payloads, is_rejected
 from gustline.schemas import RAW_TABLES
 from gustline.sources import landing, tables
 
@@ -29,30 +29,33 @@ def run_batch(
     out_dir: str,
     database: str = tables.RAW_DATABASE,
     at: datetime | None = None,
+    stock: bool = False,
+    most_rejects: int | None = None,
 ) -> dict:
     """Load one ISO date; running it again replaces that date.
 
-    Reads `<raw_dir>/weather/<date>*` as reading payloads, one JSON text per line, and, where
-    present, `<raw_dir>/stock/<date>*` as rows of the other raw table. Returns the check's result.
+    Reads `<raw_dir>/weather/<date>*` as reading payloads, one JSON text per line, and, with
+    `stock`, `<raw_dir>/stock/<date>*` as rows of the other raw table. Returns the checks' results by set
+    name. Payloads that make no reading are not landed; more of them than `most_rejects` fail the load, and so does a set
+    without rows. Nothing is landed unless all sets pass.
     """
     raw = spark.read.text(f"{raw_dir}/weather/{date}*")
     readings = flatten_payloads(raw, at=None if at is None else F.lit(at))
-    # Null fields stay in the JSON, so that the check sees missing keys only.
-    records = readings.select(
-        F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")
-    )
-    result = validate(records, "weather", READING_KEYS)
-    landing.land_day(raw_readings(readings), f"{out_dir}/weather", date)
-
-    stock_pattern = f"{raw_dir}/stock/{date}*"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stock_pattern)
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    if found:
-        stock = spark.read.schema(RAW_TABLES["financial_data"]).json(stock_pattern)
-        landing.land_day(stock, f"{out_dir}/stock", date)
+    counted = raw.agg(F.count("*").alias("n"), F.count_if(is_rejected()).alias("rejected")).first()
+    if most_rejects is not None and counted.rejected > most_rejects:
+        raise ValidationError(f"{counted.rejected} of {counted.n} payloads of {date} make no reading")
+    records = readings.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    results = {"weather": {**validate(records, "weather", READING_KEYS), "rejected": counted.rejected}}
+    sets = {"weather": raw_readings(readings)}
+    if stock:
+        sets["stock"] = spark.read.schema(RAW_TABLES["financial_data"]).json(f"{raw_dir}/stock/{date}*")
+        values = sets["stock"].select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+        results["stock"] = validate(values, "stock", [f.name for f in RAW_TABLES["financial_data"]])
 
     tables.create_raw_database(spark, f"{out_dir}/{database}", database)
     for name, folder in FOLDERS.items():
         table = tables.create_raw_table(spark, name, f"{out_dir}/{folder}", database)
-        tables.discover_partitions(spark, table)
-    return result
+        if folder in sets:
+            landing.land_day(sets[folder], f"{out_dir}/{folder}", date)
+            tables.add_day(spark, table, date)
+    return results

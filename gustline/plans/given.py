@@ -64,6 +64,28 @@ def reading_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(F.to_json(payload).alias("value"))
 
 
+def spoiled_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reading payloads with their id, every seventeenth cut off and every thirteenth with a word for its time."""
+    payloads = reading_payloads(spark, sf_dir).withColumn("id", F.get_json_object("value", "$.id").cast("bigint"))
+    cut = F.expr("substring(value, 1, length(value) - 5)")
+    worded = F.regexp_replace("value", r'"dt":\d+', '"dt":"noon"')
+    spoiled = F.when(F.col("id") % 17 == 0, cut).when(F.col("id") % 13 == 0, worded).otherwise(F.col("value"))
+    return payloads.select("id", spoiled.alias("value"))
+
+
+def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as rows of the second raw table, dated by the month's first day."""
+    price = F.col("o_totalprice").cast("double")
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("symbol"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("txn_date"),
+        price.alias("open"), (price + 2).alias("high"), (price - 2).alias("low"), (price + 1).alias("close"),
+        (F.col("o_custkey") % 1000).cast("int").alias("volume"),
+        F.lit("2024-02-01T00:00:00.000000").alias("record_timestamp"),
+        F.date_format(F.trunc("o_orderdate", "month"), "yyyy-MM-dd").alias("date"),
+    )
+
+
 def match_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as polls: two legs of one match, or none for an urgent order."""
     o = table(spark, sf_dir, "orders")

@@ -261,17 +261,17 @@ FROM labelled""",
     "alert_suppression": _with(READINGS, ALERTS, RAISED, CHAIN, recursive=True)
     + "SELECT * FROM kept",
     "event_suppression": """
-WITH RECURSIVE e AS (SELECT event_type, ts, event_id, date_trunc('second', ts) AS s FROM events),
+WITH RECURSIVE e AS (SELECT event_type, ts, event_id FROM events),
 c AS (
-  SELECT event_type, min(s) AS t FROM e GROUP BY event_type
+  SELECT event_type, min(ts) AS t FROM e GROUP BY event_type
   UNION ALL
-  SELECT c.event_type, (SELECT min(e.s) FROM e WHERE e.event_type = c.event_type
-                          AND e.s >= c.t + INTERVAL 1800 SECOND)
+  SELECT c.event_type, (SELECT min(e.ts) FROM e WHERE e.event_type = c.event_type
+                          AND e.ts >= c.t + INTERVAL 1800 SECOND)
   FROM c WHERE c.t IS NOT NULL
 )
 SELECT e.event_type, e.ts, e.event_id
-FROM c JOIN e ON e.event_type = c.event_type AND e.s = c.t
-QUALIFY row_number() OVER (PARTITION BY e.event_type, e.s ORDER BY e.ts, e.event_id) = 1""",
+FROM c JOIN e ON e.event_type = c.event_type AND e.ts = c.t
+QUALIFY row_number() OVER (PARTITION BY e.event_type, e.ts ORDER BY e.event_id) = 1""",
     "alert_enrichment": _with(READINGS, ALERTS, ITEMS) + """
 SELECT alert_type, city, country, event_timestamp, window_start, id,
        CAST(position - 1 AS INTEGER) AS position, anomalies[position].metric AS metric,
@@ -378,15 +378,38 @@ SELECT city, country, weather_main, weather_description, round(temperature, 6) A
        CAST(visibility AS INTEGER) AS visibility, wind_speed,
        strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS record_timestamp,
        strftime(event_timestamp, '%d') AS day
-FROM r WHERE strftime(event_timestamp, '%Y-%m') = '2024-01'""",
+FROM r WHERE strftime(event_timestamp, '%Y-%m-%d') = '2024-01-17'""",
     "partition_inventory": _with(READINGS) + """
-SELECT DISTINCT strftime(event_timestamp, '%Y') AS year, strftime(event_timestamp, '%m') AS month,
-       strftime(event_timestamp, '%d') AS day, true AS has_files, true AS has_bytes
+SELECT strftime(event_timestamp, '%Y') AS year, strftime(event_timestamp, '%m') AS month,
+       strftime(event_timestamp, '%d') AS day, count(*) AS n_rows, true AS files_agree, true AS bytes_agree
+FROM r GROUP BY 1, 2, 3""",
+    "payload_rejects": _with(READINGS) + """
+SELECT id, CASE WHEN id % 17 = 0 THEN 'not an object' WHEN id % 13 = 0 THEN 'wrong type' ELSE '' END AS reason
 FROM r""",
+    "match_history_feed": _with(MATCHES) + """
+SELECT 'football_history' AS topic, CAST(id AS VARCHAR) AS key, status, "utcDate" FROM matches
+WHERE CAST(substr("utcDate", 1, 10) AS DATE) BETWEEN DATE '1998-05-16' AND DATE '1998-06-15'
+  AND status = 'FINISHED'""",
+    "daily_batch": _with(READINGS, PAYLOADS) + """
+SELECT strftime(make_timestamp(dt * 1000000), '%d') AS day, city, count(*) AS n_rows, max(temperature) AS top
+FROM flat
+WHERE strftime(make_timestamp(dt * 1000000), '%Y-%m-%d') = '2024-01-06'
+   OR strftime(make_timestamp(dt * 1000000), '%Y-%m-%d') = '2024-01-05' AND country IS DISTINCT FROM 'VN'
+GROUP BY 1, 2
+UNION ALL
+SELECT '06', o_orderpriority, count(*), round(max(CAST(o_totalprice AS DOUBLE) + 1), 6) FROM orders GROUP BY 2""",
+    "envelope_projection": _with(READINGS, PAYLOADS) + """
+SELECT TIMESTAMP '2024-02-01 00:00:00' AS kafka_timestamp, CAST(NULL AS BIGINT) AS "offset",
+       CAST(0 AS INTEGER) AS "partition", id, dt FROM flat""",
+    "financial_table_scan": """
+SELECT o_orderpriority AS symbol, strftime(o_orderdate, '%Y-%m-%d') AS txn_date,
+       round(CAST(o_totalprice AS DOUBLE), 6) AS "open", round(CAST(o_totalprice AS DOUBLE) + 2, 6) AS high,
+       round(CAST(o_totalprice AS DOUBLE) - 2, 6) AS low, round(CAST(o_totalprice AS DOUBLE) + 1, 6) AS "close",
+       CAST(o_custkey % 1000 AS INTEGER) AS volume, '2024-02-01T00:00:00.000000' AS record_timestamp,
+       strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month
+FROM orders""",
     "frame_strip": _with(READINGS, PAYLOADS)
     + "SELECT *, make_timestamp(dt * 1000000) AS event_timestamp FROM flat",
-    "keyed_publish": _with(READINGS) + """
-SELECT 'weather' AS topic, CAST(7 AS BIGINT) AS schema_id, count(*) AS n_messages,
-       CAST(sum(id) AS BIGINT) AS key_sum, count(*) AS n_bodies
-FROM r""",
+    "keyed_publish": _with(READINGS, PAYLOADS) + """
+SELECT 'weather' AS topic, CAST(7 AS BIGINT) AS schema_id, CAST(id AS VARCHAR) AS key, city, visibility, dt FROM flat""",
 }

@@ -8,30 +8,34 @@ from pyspark.sql import functions as F
 from gustline.functions.frames import frame_schema_id, strip_frame
 from gustline.functions.times import event_time, ingested_at
 from gustline.operators import matches as m
-from gustline.operators.alerts import explode_anomalies, of_type, unite
+from gustline.operators import readings
+from gustline.operators.alerts import explode_anomalies, identify, of_type, unite
 from gustline.operators.changes import change_alerts, change_features
 from gustline.operators.notifications import enrich
-from gustline.operators.quality import MATCH_KEYS, READING_KEYS, check_records
+from gustline.operators.quality import MATCH_KEYS, READING_KEYS, check_groups
 from gustline.operators.readings import flatten_payloads, in_places, with_event_time
 from gustline.operators.suppression import suppress_repeats
 from gustline.operators.thresholds import flag_thresholds, threshold_alerts
 from gustline.operators.windows import EVENT_TIME, WATERMARK, window_stats
 from gustline.plans import given
+from gustline.plans.daily import run_batch
 from gustline.plans.delivery import deliver
 from gustline.plans.given import comparable
-from gustline.schemas import MATCH, READING
+from gustline.schemas import ALERT, MATCH, READING
 from gustline.sources import landing, tables
 from gustline.sources.envelopes import (
     alert_envelopes,
     decode_alerts,
     keyed_envelopes,
+    publish,
     read_readings,
     read_topic,
+    unframed,
 )
 from gustline.sources.shared import fresh_path, write_stage
 from gustline.sources.sinks import ALERT_TOPIC, write_rows
 from gustline.streaming.delivery import start_notifications
-from gustline.streaming.feeds import READING_TOPIC, publish_matches, publish_readings, start_feed
+from gustline.streaming.feeds import READING_TOPIC, publish_history, publish_matches, publish_readings, start_feed
 from gustline.streaming.jobs import DETECTORS, drain, start_detectors, state_settings
 from gustline.streaming.suppression import suppress_repeats_stream
 
@@ -42,6 +46,7 @@ SCHEMA_ID = 7
 ALLOWED = [("click", "US"), ("error", "VN"), ("signup", "US")]
 LATE_FROM_DAY = "2024-01-20"
 LATE_VISIBILITY = 2000
+ARRIVALS = ("2024-01-10", "2024-01-20")
 
 
 def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,33 +157,39 @@ def alert_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alert_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(deliver(write_stage(_alerts(spark, sf_dir), "alerts"), RECIPIENTS))
+    return comparable(deliver(_alerts(spark, sf_dir), RECIPIENTS))
 
 
 def alert_payload_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(decode_alerts(alert_envelopes(_alerts(spark, sf_dir), ALERT_TOPIC)))
 
 
-def _drained_topic(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Run both detectors over the whole table; returns the folder of the alert topic."""
+def _drained_topic(spark: SparkSession, sf_dir: str, name: str, detectors=tuple(DETECTORS)) -> str:
+    """Run the detectors over the whole table; returns the folder of the alert topic."""
     root = fresh_path(spark, name)
     started = start_detectors(
         given.reading_stream(spark, sf_dir), f"{root}/checkpoints", folder=f"{root}/topic",
-        kind="files", available_now=True,
+        names=detectors, kind="files", available_now=True,
     )
     drain(*started.values())
     return f"{root}/topic"
 
 
-def _alert_stream(spark: SparkSession, topic: str) -> DataFrame:
-    thresholds, changes = (
-        read_topic(spark, ALERT_TOPIC, "files", folder=f"{topic}/{name}") for name in DETECTORS
-    )
-    return decode_alerts(thresholds.unionByName(changes))
+def _arrivals(spark: SparkSession, topic: str):
+    """Feed the topic's alerts, in order of time, to a stream in three arrivals; yields the stream
+    anew after each, for a query that goes on from its checkpoint."""
+    parts = [
+        decode_alerts(spark.read.parquet(f"{topic}/{name}")) for name in DETECTORS
+    ]
+    alerts = identify(parts[0].unionByName(parts[1]))
+    number = sum((F.col("alert_time") >= F.lit(day).cast("timestamp")).cast("int") for day in ARRIVALS)
+    for arrival in range(len(ARRIVALS) + 1):
+        alerts.filter(number == arrival).select(ALERT.fieldNames()).write.mode("append").parquet(f"{topic}-feed")
+        yield spark.readStream.schema(ALERT).parquet(f"{topic}-feed")
 
 
 def stream_threshold_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topic = _drained_topic(spark, sf_dir, "stream-threshold")
+    topic = _drained_topic(spark, sf_dir, "stream-threshold", ["threshold_detect"])
     return comparable(
         decode_alerts(spark.read.parquet(f"{topic}/threshold_detect")).select(
             "event_timestamp", "id", "city", "country", "temperature", "pressure", "visibility",
@@ -188,7 +199,7 @@ def stream_threshold_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_change_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    topic = _drained_topic(spark, sf_dir, "stream-change")
+    topic = _drained_topic(spark, sf_dir, "stream-change", ["change_detect"])
     return comparable(
         decode_alerts(spark.read.parquet(f"{topic}/change_detect")).select(
             "city", "country", "window_start", "max_temp", "max_temp_time", "min_temp",
@@ -202,19 +213,19 @@ def stream_change_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_alert_suppression(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = _drained_topic(spark, sf_dir, "stream-suppression")
-    alerts = _alert_stream(spark, topic)
     out = f"{topic}-emitted"
-    with state_settings(spark):
-        emitted = suppress_repeats_stream(explode_anomalies(alerts))
-        drain(write_rows(emitted, f"{out}/checkpoint", f"{out}/rows", available_now=True))
+    for alerts in _arrivals(spark, topic):
+        with state_settings(spark):
+            emitted = suppress_repeats_stream(explode_anomalies(alerts))
+            drain(write_rows(emitted, f"{out}/checkpoint", f"{out}/rows", available_now=True))
     return comparable(spark.read.parquet(f"{out}/rows").drop("alert_uid"))
 
 
 def stream_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = _drained_topic(spark, sf_dir, "stream-notifications")
-    alerts = _alert_stream(spark, topic)
     out = f"{topic}-sent"
-    drain(start_notifications(alerts, f"{out}/checkpoint", out, RECIPIENTS, available_now=True))
+    for alerts in _arrivals(spark, topic):
+        drain(start_notifications(alerts, f"{out}/checkpoint", out, RECIPIENTS, available_now=True))
     # The texts show averages with all digits, which depend on the order of summing.
     return comparable(spark.read.parquet(f"{out}/notifications").drop("body", "batch"))
 
@@ -318,16 +329,16 @@ def match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def required_fields_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = flatten_payloads(given.reading_payloads(spark, sf_dir), F.lit(STAMP))
-    whole = r.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
-    dropped = r.select(F.to_json(F.struct("*")).alias("value"))
+    whole = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    dropped = F.to_json(F.struct("*"))
+    texts = r.select(whole.alias("whole"), dropped.alias("dropped")).unpivot([], ["whole", "dropped"], "set", "value")
     matches = m.match_texts(given.match_polls(spark, sf_dir))
-    none = matches.filter(F.col("status") == "POSTPONED")
+    matches = matches.withColumn("set", F.when(F.col("status") == "POSTPONED", "none").otherwise("all"))
     checks = [
-        check_records(whole, "weather", READING_KEYS),
-        check_records(dropped, "weather_without_nulls", READING_KEYS),
-        check_records(matches, "historical_football", MATCH_KEYS[:-1]),
-        check_records(none, "live_football"),
-        check_records(none, "historical_football_none", MATCH_KEYS),
+        check_groups(texts, {"whole": "weather", "dropped": "weather_without_nulls"}, "set", READING_KEYS),
+        check_groups(matches, {"all": "historical_football"}, "set", MATCH_KEYS[:-1]),
+        check_groups(matches, {"none": "live_football"}, "set"),
+        check_groups(matches, {"none": "historical_football_none"}, "set", MATCH_KEYS),
     ]
     rows = checks[0]
     for check in checks[1:]:
@@ -335,6 +346,51 @@ def required_fields_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+def payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads of which some are cut off and some have a text where a number belongs."""
+    raw = given.spoiled_payloads(spark, sf_dir)
+    made = flatten_payloads(raw, F.lit(STAMP)).select("id", F.lit("").alias("reason"))
+    return readings.payload_rejects(raw).select("id", "reason").unionByName(made)
+
+
+def match_history_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = fresh_path(spark, "match-history")
+    publish_history(given.match_polls(spark, sf_dir), AS_OF, kind="files", folder=root)
+    sent = read_topic(spark, m.HISTORY_TOPIC, "files", folder=root, streaming=False)
+    fields = F.from_json(F.col("value").cast("string"), MATCH)
+    return sent.select("topic", F.col("key").cast("string").alias("key"), fields.alias("m")).select(
+        "topic", "key", F.col("m.status").alias("status"), F.col("m.utcDate").alias("utcDate"))
+
+
+def daily_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days loaded, then the first again without the rows of one country; the second raw set with the second day."""
+    root = fresh_path(spark, "daily")
+    days, out = ("2024-01-05", "2024-01-06"), f"{root}/raw"
+    database = f"bronze_{root.rsplit('-', 1)[-1]}"
+    payloads = given.reading_payloads(spark, sf_dir)
+    day = F.date_format(F.timestamp_seconds(F.get_json_object("value", "$.dt").cast("bigint")), "yyyy-MM-dd")
+    dated = write_stage(payloads.withColumn("date", day), "payloads")
+    stock = given.prices(spark, sf_dir).drop("date")
+
+    def put(number: int, date: str, rows: DataFrame) -> str:
+        place = f"{root}/polls-{number}"
+        rows.filter(F.col("date") == date).select("value").write.text(f"{place}/weather/{date}-polls")
+        stock.write.json(f"{place}/stock/{date}-prices")
+        return place
+
+    run_batch(spark, put(0, days[0], dated), days[0], out, database, STAMP)
+    run_batch(spark, put(1, days[1], dated), days[1], out, database, STAMP, stock=True)
+    again = dated.filter(F.coalesce(F.get_json_object("value", "$.sys.country"), F.lit("")) != "VN")
+    run_batch(spark, put(2, days[0], again), days[0], out, database, STAMP)
+    landed = spark.table(f"{database}.weather_data").groupBy("day", "city").agg(
+        F.count("*").alias("n_rows"), F.round(F.max("temperature"), given.PLACES).alias("top")
+    )
+    prices = spark.table(f"{database}.financial_data").groupBy("day", F.col("symbol").alias("city")).agg(
+        F.count("*").alias("n_rows"), F.round(F.max("close"), given.PLACES).alias("top")
+    )
+    return landed.unionByName(prices)
+
+
 def _raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = given.readings(spark, sf_dir)
     day = F.date_format(EVENT_TIME, "yyyy-MM-dd")
@@ -366,22 +422,41 @@ def landing_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _landed(spark, sf_dir, "rawtable")
+def _table_over(spark: SparkSession, root: str, kind: str) -> str:
+    """A raw table of its own over landed day folders."""
     name = root.rsplit("-", 1)[-1]
-    database = f"bronze_{name}"
-    tables.create_raw_database(spark, f"{root}_db", database)
-    table = tables.create_raw_table(spark, f"weather_{name}", root, database, like="weather_data")
+    tables.create_raw_database(spark, f"{root}_db", f"bronze_{name}")
+    table = tables.create_raw_table(spark, f"{kind}_{name}", root, f"bronze_{name}", like=kind)
     tables.discover_partitions(spark, table)
-    scanned = spark.table(table).filter("year = '2024' AND month = '01'")
+    return table
+
+
+def raw_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day of the table: the other days' folders are not read."""
+    table = _table_over(spark, _landed(spark, sf_dir, "rawtable"), "weather_data")
+    scanned = spark.table(table).filter("year = '2024' AND month = '01' AND day = '17'")
     return comparable(scanned.drop("year", "month"))
 
 
+def financial_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = fresh_path(spark, "prices")
+    landing.land_days(given.prices(spark, sf_dir), root)
+    return comparable(spark.table(_table_over(spark, root, "financial_data")).drop("day"))
+
+
 def partition_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = landing.inventory(spark, _landed(spark, sf_dir, "inventory"))
-    return listed.select(
-        *landing.PARTITIONS,
-        (F.col("n_files") > 0).alias("has_files"), (F.col("n_bytes") > 0).alias("has_bytes"),
+    """The listing held against what a scan of all files says of itself."""
+    root = _landed(spark, sf_dir, "inventory")
+    listed = landing.inventory(spark, root)
+    rows = spark.read.schema("city STRING, year STRING, month STRING, day STRING").json(root)
+    files = rows.select(*landing.PARTITIONS, "_metadata.file_path", "_metadata.file_size")
+    files = files.groupBy(*landing.PARTITIONS, "file_path").agg(F.first("file_size").alias("size"), F.count("*").alias("n"))
+    scanned = files.groupBy(*landing.PARTITIONS).agg(
+        F.count("*").alias("files"), F.sum("size").alias("bytes"), F.sum("n").alias("n_rows")
+    )
+    return listed.join(scanned, landing.PARTITIONS, "full").select(
+        *landing.PARTITIONS, "n_rows",
+        (F.col("n_files") == F.col("files")).alias("files_agree"), (F.col("n_bytes") == F.col("bytes")).alias("bytes_agree"),
     )
 
 
@@ -397,6 +472,12 @@ def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def envelope_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    projected = unframed(_published(spark, sf_dir))
+    body = F.from_json(F.col("body").cast("string"), READING)
+    return comparable(projected.select("kafka_timestamp", "offset", "partition", body["id"].alias("id"), body["dt"].alias("dt")))
+
+
 def frame_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = _published(spark, sf_dir)
     decoded = read_readings(sent, READING)
@@ -405,12 +486,15 @@ def frame_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyed_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sent = _published(spark, sf_dir)
-    return sent.groupBy("topic", frame_schema_id("value").alias("schema_id")).agg(
-        F.count("*").alias("n_messages"),
-        F.sum(F.col("key").cast("string").cast("bigint")).alias("key_sum"),
-        F.count_if(F.octet_length(strip_frame("value")) > 0).alias("n_bodies"),
-    )
+    """Published to a folder and read back: each message with its key, and its body by fields."""
+    root = fresh_path(spark, "keyed")
+    publish(_published(spark, sf_dir), kind="files", folder=root)
+    sent = read_topic(spark, READING_TOPIC, "files", folder=root, streaming=False)
+    body = F.from_json(strip_frame("value").cast("string"), READING)
+    return comparable(sent.select(
+        "topic", frame_schema_id("value").alias("schema_id"), F.col("key").cast("string").alias("key"),
+        body["city"].alias("city"), body["visibility"].alias("visibility"), body["dt"].alias("dt"),
+    ))
 
 
 QUERIES = {
@@ -443,6 +527,11 @@ QUERIES = {
     "match_date_window": match_date_window,
     "match_counts": match_counts,
     "required_fields_check": required_fields_check,
+    "payload_rejects": payload_rejects,
+    "match_history_feed": match_history_feed,
+    "daily_batch": daily_batch,
+    "envelope_projection": envelope_projection,
+    "financial_table_scan": financial_table_scan,
     "landing_partitions": landing_partitions,
     "raw_table_scan": raw_table_scan,
     "partition_inventory": partition_inventory,

@@ -15,6 +15,8 @@ from gustline.schemas import ALERT, ENVELOPE
 
 # Producer settings.
 KAFKA_WRITE = {"kafka.acks": "all", "kafka.compression.type": "zstd"}
+# What one trigger reads at most: it bounds what keyed state holds while it runs.
+TRIGGER_LIMITS = {"kafka": {"maxOffsetsPerTrigger": "5000000"}, "files": {"maxFilesPerTrigger": "1000"}}
 
 
 def read_topic(
@@ -23,13 +25,22 @@ def read_topic(
     kind: str = "kafka",
     servers: str | None = None,
     folder: str | None = None,
-    starting: str = "earliest",
+    starting: str | None = None,
     streaming: bool = True,
     **options: str,
 ) -> DataFrame:
-    """Envelope rows of one topic, from Kafka or from a parquet folder of such rows."""
+    """Envelope rows of one topic, from Kafka or from a parquet folder of such rows.
+
+    On Kafka a new query begins at the earliest offset unless told; a folder is always read
+    whole, so it takes no `starting`. One trigger of a stream reads no more than `TRIGGER_LIMITS`
+    say, unless the options give other limits.
+    """
     reader = spark.readStream if streaming else spark.read
+    if streaming:
+        options = {**TRIGGER_LIMITS.get(kind, {}), **options}
     if kind == "files":
+        if starting is not None:
+            raise ValueError("a folder of envelopes is read whole; it has no starting offsets")
         rows = reader.schema(ENVELOPE).options(**options).parquet(folder)
         return rows.filter(F.col("topic") == topic)
     if kind != "kafka":
@@ -37,12 +48,19 @@ def read_topic(
     settings = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
-        "startingOffsets": starting,
+        "startingOffsets": starting or "earliest",
         "failOnDataLoss": "false",
     }
     return reader.format("kafka").options(**settings).options(**options).load()
 
 
+def read_new_alerts(spark: SparkSession, topic: str, **source) -> DataFrame:
+    """Alert messages from now on: on Kafka a new consumer begins at the latest offset."""
+    if source.get("kind", "kafka") == "kafka":
+        source = {"starting": "latest", **source}
+    return decode_alerts(read_topic(spark, topic, **source))
+
+
 def load_value_schema(spark: SparkSession, path: str) -> str:
     """Text of one schema file; missing or empty stops the start."""
     text = spark.read.text(path, wholetext=True).first()

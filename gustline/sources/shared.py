@@ -1,18 +1,23 @@
 """Places and written stages in the folder all executors share."""
 
+import re
 import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+IN_ONE_PROCESS = re.compile(r"local(\[[^\]]*\])?")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local temporary one only where none is set."""
+    """The cluster's checkpoint folder. Where none is set, a run in one process gets a temporary
+    one; any other is refused, since its executors would each write to their own disk."""
     configured = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not IN_ONE_PROCESS.fullmatch(spark.sparkContext.master):
+        raise ValueError(f"{CHECKPOINT_SETTING} must name a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gustline-"))
     return spark.sparkContext.getCheckpointDir()
 

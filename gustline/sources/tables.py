@@ -4,9 +4,9 @@ from pyspark.sql import SparkSession
 
 from gustline.schemas import RAW_TABLES
 
-# The raw database and its note.
+# The raw database (a fixed value) and a note on it.
 RAW_DATABASE = "bronze_db"
-RAW_COMMENT = "Original data, untouched source format"
+RAW_COMMENT = "Records as they came, by day"
 
 
 def create_raw_database(spark: SparkSession, location: str, database: str = RAW_DATABASE) -> None:
@@ -29,6 +29,13 @@ def create_raw_table(
     return f"{database}.{name}"
 
 
+def add_day(spark: SparkSession, table: str, date: str) -> None:
+    """Register the folder of one ISO date, without listing the others."""
+    year, month, day = date[0:4], date[5:7], date[8:10]
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (year='{year}', month='{month}', day='{day}')")
+    spark.catalog.refreshTable(table)
+
+
 def discover_partitions(spark: SparkSession, table: str) -> None:
     """Register the folders that were landed since the last call."""
     spark.sql(f"MSCK REPAIR TABLE {table}")

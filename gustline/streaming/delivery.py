@@ -4,8 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from gustline.operators.alerts import explode_anomalies
-from gustline.plans.delivery import notify
-from gustline.schemas import ALERT
+from gustline.plans.delivery import notify_whole
 from gustline.streaming.jobs import state_settings
 from gustline.streaming.suppression import suppress_repeats_stream
 
@@ -21,15 +20,12 @@ def start_notifications(
     """Suppress repeats and write the notifications of each batch below `folder`.
 
     All anomalies of one alert come in one batch, so a batch can be gathered by alert. A batch
-    that is run again overwrites its own folders.
+    that is run again overwrites its own folder.
     """
     emitted = suppress_repeats_stream(explode_anomalies(alerts, whole=True), clock=clock)
 
     def write(batch: DataFrame, number: int) -> None:
-        stage = f"{folder}/emitted/batch={number}"
-        batch.write.mode("overwrite").parquet(stage)
-        kept = batch.sparkSession.read.schema(batch.schema).parquet(stage)
-        sent = notify(kept.select(ALERT.fieldNames()), kept, recipients)
+        sent = notify_whole(batch, recipients)
         sent.write.mode("overwrite").parquet(f"{folder}/notifications/batch={number}")
 
     writer = emitted.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)

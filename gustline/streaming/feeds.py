@@ -1,14 +1,15 @@
 """Raw payload texts to topics: unpack, check, route, publish."""
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gustline.operators import matches as m
-from gustline.operators.quality import MATCH_KEYS, READING_KEYS, validate
-from gustline.operators.readings import flatten_payloads
+from gustline.operators.quality import MATCH_KEYS, ValidationError, check_records, failures, lacks_keys
+from gustline.operators.readings import flatten_payloads, is_rejected, payload_rejects
 from gustline.sources.envelopes import keyed_envelopes, publish
 
 # The topic of the readings and the names of the checked match sets.
@@ -16,35 +17,58 @@ READING_TOPIC = "weather"
 MATCH_SETS = {m.LIVE_TOPIC: "live_football", m.HISTORY_TOPIC: "recent_finish_football"}
 
 
-def _check(texts: DataFrame, name: str, required: tuple[str, ...]) -> None:
-    if not texts.isEmpty():
-        validate(texts, name, required)
-
-
 def publish_readings(raw: DataFrame, avro_schema: str | None = None, schema_id: int | None = None,
-                     **target) -> None:
-    """Publish one poll's or batch's readings, keyed by id; a failed check publishes none."""
-    readings = flatten_payloads(raw)
-    # Null fields stay in the JSON, so that the check sees missing keys only.
-    texts = F.to_json(F.struct(*readings.columns), {"ignoreNullFields": "false"})
-    _check(readings.select(texts.alias("value")), "weather", READING_KEYS)
-    publish(keyed_envelopes(readings, READING_TOPIC, avro_schema, schema_id), **target)
+                     rejects: str | None = None, most_rejects: int | None = None, **target) -> dict:
+    """Publish one poll's or batch's readings, keyed by id; returns what was counted.
+
+    Payloads that make no reading are counted in one pass before the write and, with `rejects`, appended
+    to that folder. More of them than `most_rejects` fail the batch before anything is published; 0 fails it
+    at the first.
+    """
+    counted = raw.agg(F.count("*").alias("n"), F.count_if(is_rejected()).alias("n_rejected")).first().asDict()
+    if most_rejects is not None and counted["n_rejected"] > most_rejects:
+        raise ValidationError(f"{counted['n_rejected']} of {counted['n']} payloads make no reading")
+    if counted["n_rejected"] and rejects:
+        payload_rejects(raw).write.mode("append").json(rejects)
+    if counted["n"] > counted["n_rejected"]:
+        publish(keyed_envelopes(flatten_payloads(raw), READING_TOPIC, avro_schema, schema_id), **target)
+    return counted
 
 
 def publish_matches(raw: DataFrame, avro_schema: str | None = None, schema_id: int | None = None,
                     **target) -> None:
-    """Publish matches to the live or the history topic in one write, keyed by id; a failed
-    check publishes none. The time of ingestion is added here, all other keys must have come."""
-    texts = m.route(m.match_texts(raw))
+    """Publish matches to the live or the history topic in one write, keyed by id.
+
+    One aggregation checks both sets before that; a failed check publishes none. The time of ingestion is
+    added here, all other keys must have come.
+    """
     sent_keys = tuple(key for key in MATCH_KEYS if key != "ingested_at")
-    for topic, name in MATCH_SETS.items():
-        _check(texts.filter(F.col("topic") == topic), name, sent_keys)
+    texts = m.route(m.match_texts(raw))
+    counted = texts.groupBy("topic").agg(F.count("*").alias("n"), F.count_if(lacks_keys(sent_keys)).alias("lacking")).collect()
+    failed = [MATCH_SETS[r.topic] for r in counted if r.lacking]
+    if failed:
+        raise ValidationError(f"matches lack required keys in {', '.join(sorted(failed))}")
+    if not counted:
+        return
     routed = m.route(m.unpack_matches(raw))
     fields = [c for c in routed.columns if c != "topic"]
     sent = keyed_envelopes(routed, F.col("topic"), avro_schema, schema_id, fields=fields)
     publish(sent, **target)
 
 
+def publish_history(raw: DataFrame, as_of: date, avro_schema: str | None = None, schema_id: int | None = None,
+                    **target) -> None:
+    """The batch feed: the finished matches of the days before `as_of`, checked and published to the history topic."""
+    found = m.history(m.unpack_matches(raw), as_of)
+    values = found.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    failed = failures(check_records(values, MATCH_SETS[m.HISTORY_TOPIC], MATCH_KEYS))
+    counted_none = values.isEmpty()
+    if failed and not counted_none:
+        raise ValidationError("; ".join(failed))
+    if not counted_none:
+        publish(keyed_envelopes(found, m.HISTORY_TOPIC, avro_schema, schema_id), **target)
+
+
 def start_feed(
     raw: DataFrame,
     publisher: Callable[..., None],

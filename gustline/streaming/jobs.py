@@ -1,6 +1,7 @@
 """Starting and draining the alert streams."""
 
-from collections.abc import Iterator
+import json
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +21,10 @@ SHUFFLES = "spark.sql.shuffle.partitions"
 def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Settings a stateful query fixes in its checkpoint when it first starts.
 
-    State is spread over a fixed number of partitions for the life of the query; unless
-    given, this is the session's number, but no more than the cores it can run on.
+    State is spread over a fixed number of partitions for the life of the query: the given
+    number, or else the session's shuffle partitions, however many cores there are just now.
     """
-    partitions = partitions or min(
-        int(spark.conf.get(SHUFFLES)), spark.sparkContext.defaultParallelism
-    )
+    partitions = partitions or int(spark.conf.get(SHUFFLES))
     wanted = {STATE_STORE: ROCKSDB, SHUFFLES: str(partitions)}
     before = {name: spark.conf.get(name, None) for name in wanted}
     try:
@@ -38,16 +37,18 @@ def state_settings(spark: SparkSession, partitions: int | None = None) -> Iterat
 
 
 def start_detectors(
-    readings: DataFrame, checkpoints: str, folder: str | None = None, **sink
+    readings: DataFrame, checkpoints: str, folder: str | None = None,
+    names: Iterable[str] = tuple(DETECTORS), **sink
 ) -> dict[str, StreamingQuery]:
-    """Start both detectors over one source, each with its own checkpoint.
+    """Start the named detectors, both unless told, over one source, each with its own checkpoint.
 
     On Kafka both append to the alert topic; in files each has a folder below `folder`,
     since a folder's commit log belongs to one query.
     """
     started = {}
     with state_settings(readings.sparkSession):
-        for name, detect in DETECTORS.items():
+        for name in names:
+            detect = DETECTORS[name]
             target = {"folder": f"{folder}/{name}"} if folder else {}
             started[name] = write_alerts(detect(readings), f"{checkpoints}/{name}", **target, **sink)
     return started
@@ -63,3 +64,20 @@ def drain(*queries: StreamingQuery) -> None:
     """Wait for queries that were started on the data available now."""
     for query in queries:
         query.awaitTermination()
+
+
+def delivered(query: StreamingQuery) -> list[dict]:
+    """Rows in and out of the triggers that the query's progress still holds, with the time of each."""
+    return [
+        {
+            "batch": progress["batchId"],
+            "at": progress["timestamp"],
+            "rows_in": progress["numInputRows"],
+            "rows_out": max(0, progress["sink"].get("numOutputRows", 0)),
+        }
+        for progress in map(_plain_progress, query.recentProgress)
+    ]
+
+
+def _plain_progress(progress) -> dict:
+    return progress if isinstance(progress, dict) else json.loads(progress.json)

@@ -5,26 +5,31 @@ from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructType
 
-from gustline.operators.suppression import KEYS, NEVER, ORDER, RETENTION_SECONDS, replay
+from gustline.operators.suppression import KEYS, NEVER, ORDER, RETENTION_SECONDS, SECOND, replay
 
 CLOCKS = ("event", "processing")
 
 
-def first_per_second(rows: pd.DataFrame, keys: list[str], time: str, order: list[str]) -> pd.DataFrame:
-    """Timed rows in order, without those that repeat a key within its second."""
-    timed = rows[rows[time].notna()].sort_values([time, *order], ignore_index=True)
-    marked = timed[keys].assign(_second=timed[time].astype("datetime64[s]"))
-    return timed[~marked.duplicated()]
+# Microseconds since the epoch, made by Spark: pandas has times as clocks of the session's zone show them.
+# (Names with a leading underscore do not reach the state processor.)
+AT = "suppression_at"
+
+
+def first_per_time(rows: pd.DataFrame, keys: list[str], order: list[str]) -> pd.DataFrame:
+    """Timed rows in order, without those that repeat a key at its time."""
+    timed = rows[rows[AT].notna()].sort_values([AT, *order], ignore_index=True)
+    return timed[~timed[[*keys, AT]].duplicated()]
 
 
 class _Repeats(StatefulProcessor):
-    """Keeps one number per key: the second of its last emission."""
+    """Keeps one number per key: the time of its last emission in microseconds."""
 
-    def __init__(self, time: str, order: list[str], retention_seconds: int, clock: str):
-        self.time, self.order = time, order
+    def __init__(self, order: list[str], retention_seconds: int, clock: str):
+        self.order = order
         self.retention_seconds, self.clock = retention_seconds, clock
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -40,33 +45,35 @@ class _Repeats(StatefulProcessor):
             for batch in rows:
                 if free and len(batch):
                     self.last.update((timerValues.getCurrentProcessingTimeInMs(),))
-                    yield batch.head(1)
+                    yield batch.head(1).drop(columns=AT)
                     free = False
             return
-        # What is held grows with the distinct seconds of the trigger, not with its rows.
+        # What is held grows with the distinct times of the trigger, not with its rows.
         held, waiting, n_waiting = pd.DataFrame(), [], 0
         for batch in rows:
-            untimed = batch[batch[self.time].isna()]
+            untimed = batch[batch[AT].isna()]
             if len(untimed):
-                yield untimed
+                yield untimed.drop(columns=AT)
             waiting.append(batch)
             n_waiting += len(batch)
             if n_waiting >= len(held):
                 held = self._compact(held, waiting)
                 waiting, n_waiting = [], 0
         held = self._compact(held, waiting)
-        times = held[self.time].astype("datetime64[s]").astype("int64").to_numpy()
-        free_from = self.last.get()[0] + self.retention_seconds if self.last.exists() else NEVER
-        kept = replay(times, free_from, self.retention_seconds)
+        if not len(held):
+            return
+        times, retention = held[AT].astype("int64").to_numpy(), self.retention_seconds * SECOND
+        free_from = self.last.get()[0] + retention if self.last.exists() else NEVER
+        kept = replay(times, free_from, retention)
         if len(kept):
             self.last.update((int(kept[-1]),))
-            yield held.iloc[times.searchsorted(kept, side="left")]
+            yield held.iloc[times.searchsorted(kept, side="left")].drop(columns=AT)
 
     def _compact(self, held: pd.DataFrame, waiting: list[pd.DataFrame]) -> pd.DataFrame:
         if not waiting:
             return held
         together = pd.concat([held, *waiting] if len(held) else waiting, ignore_index=True)
-        return first_per_second(together, [], self.time, self.order)
+        return first_per_time(together, [], self.order)
 
     def close(self) -> None:
         pass
@@ -84,12 +91,14 @@ def suppress_repeats_stream(
 
     With the event clock it decides by `time`, so input in time order gives the batch result.
     Nothing is dropped as late: a row that arrives behind the last emission of its key is a
-    repeat. State is one number per key. With the processing clock the first row of a key is
-    emitted and its state lives for the retention time; such a query keeps running empty
-    batches to watch the clock, so it does not end by itself when the data available now is read.
-
-    Before the shuffle each Arrow batch is reduced to one row per key and second, so a key that
-    holds most rows does not send them all to one task.
+    repeat. Rows without a time are all emitted. State is one number per key, for as long as the
+    checkpoint lives. With the processing clock the first row of a key is emitted and its state
+    lives for the retention time; such a query keeps running empty batches to watch the clock, so
+    it does not end by itself when the data available now is read.
+
+    Before the shuffle each Arrow batch is reduced to one row per key and time (or per key, with
+    the processing clock), so a key that holds most rows does not send them all to one task. A task
+    holds the distinct times of a key in one trigger; the limits of `read_topic` bound that.
     Start the query under `jobs.state_settings`.
     """
     if clock not in CLOCKS:
@@ -98,13 +107,15 @@ def suppress_repeats_stream(
 
     def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield first_per_second(batch, names, time, ranked)
-            yield batch[batch[time].isna()]
-
-    if clock == "event":
-        rows = rows.mapInPandas(combine, rows.schema)
-    return rows.groupBy(*keys).transformWithStateInPandas(
-        _Repeats(time, ranked, retention_seconds, clock),
+            if clock == "processing":
+                yield batch[~batch[names].duplicated()]
+            else:
+                yield first_per_time(batch, names, ranked)
+                yield batch[batch[AT].isna()]
+
+    stamped = rows.withColumn(AT, F.unix_micros(F.col(time).cast("timestamp")))
+    return stamped.mapInPandas(combine, stamped.schema).groupBy(*keys).transformWithStateInPandas(
+        _Repeats(ranked, retention_seconds, clock),
         outputStructType=rows.schema,
         outputMode="append",
         timeMode="none" if clock == "event" else "processingTime",

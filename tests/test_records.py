@@ -4,6 +4,8 @@ import json
 from datetime import date, datetime
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gustline.functions.frames import add_frame, frame_schema_id, strip_frame
@@ -11,7 +13,7 @@ from gustline.functions.text import number_text
 from gustline.functions.times import display_clock, ingested_at
 from gustline.operators import matches as m
 from gustline.operators.quality import MATCH_KEYS, READING_KEYS, ValidationError, check_records, validate
-from gustline.operators.readings import PLACES, flatten_payloads, in_places, with_event_time
+from gustline.operators.readings import PLACES, flatten_payloads, in_places, payload_rejects, with_event_time
 from gustline.schemas import ALERT, ENVELOPE, MATCH, READING
 from gustline.sources import envelopes as e
 
@@ -43,7 +45,7 @@ def test_flatten_full_payload(spark):
 
 
 def test_flatten_missing_parts(spark):
-    values = [without("sys", "wind"), {**PAYLOAD, "weather": []}, without("weather", "main"), "{broken"]
+    values = [without("sys", "wind"), {**PAYLOAD, "weather": []}, without("weather", "main"), {}]
     a, b, c, d = flatten_payloads(texts(spark, values), F.lit(STAMP)).collect()
     assert a.country is None and a.wind_speed is None and a.city == "Ha Noi"
     assert b.weather_main is None and b.temperature == 21.5
@@ -51,6 +53,13 @@ def test_flatten_missing_parts(spark):
     assert d.id is None and d.city is None and d.ingested_at is not None
 
 
+def test_rejects_are_told_apart_and_make_no_reading(spark):
+    raw = texts(spark, [PAYLOAD, "{broken", {**PAYLOAD, "dt": "noon"}]).unionByName(spark.createDataFrame([(None,)], "value STRING"))
+    assert flatten_payloads(raw).count() == 1
+    found = payload_rejects(raw).groupBy("reason").count().collect()
+    assert sorted(map(tuple, found)) == [("not an object", 2), ("wrong type", 1)]
+
+
 def test_reading_columns_and_stamp_default(spark):
     flat = flatten_payloads(texts(spark, [PAYLOAD, PAYLOAD]))
     assert flat.columns == READING.fieldNames()
@@ -171,7 +180,8 @@ def test_alert_messages_omit_nulls(spark):
 
 def test_number_texts(spark):
     numbers = [0.0, -2.0, 38.25, 0.001, 0.0005, 0.0001, 0.00005, -1.5e-7, 9999999.0, 12000000.0,
-               123456789012.5, 1e16, 2.5e21, 1e300]
+               123456789012.5, 1e16, 2.5e21, 1e300, 5.555555555555556e-4, 1.2345678901234567e-4, -0.00055,
+               9.999999999999999e-4, -1.2345678901234567e7, 1234567890123456.7]
     frame = spark.createDataFrame([(v,) for v in numbers], "v DOUBLE")
     assert [r[0] for r in frame.select(number_text(frame.schema, "v")).collect()] == [repr(v) for v in numbers]
     whole = spark.createDataFrame([(1033, 12.3)], "v BIGINT, f FLOAT")
@@ -179,6 +189,14 @@ def test_number_texts(spark):
     assert tuple(row) == ("1033", "12.3")
 
 
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.floats(allow_nan=False, allow_infinity=False), min_size=20, max_size=20), st.integers(-5, 17))
+def test_number_texts_lose_no_digit(spark, numbers, power):
+    numbers = [n for n in numbers + [n % 1 * 10.0**power for n in numbers] if abs(n) > 1e-300 or n == 0]
+    frame = spark.createDataFrame([(v,) for v in numbers], "v DOUBLE")
+    assert [float(r[0]) for r in frame.select(number_text(frame.schema, "v")).collect()] == numbers
+
+
 def test_clock_texts(spark):
     frame = spark.range(1).select(F.lit(STAMP).cast("timestamp").alias("t"))
     row = frame.select(display_clock("t").alias("c"), ingested_at(F.col("t")).alias("i")).first()

@@ -15,13 +15,14 @@ from gustline.operators.thresholds import threshold_alerts
 from gustline.operators.windows import EVENT_TIME, WATERMARK, WINDOW_MINUTES, window_stats
 from gustline.plans import given
 from gustline.schemas import ALERT
-from gustline.sources.envelopes import decode_alerts
+from gustline.operators.quality import ValidationError
+from gustline.sources.envelopes import TRIGGER_LIMITS, decode_alerts, read_topic
 from gustline.sources.shared import CHECKPOINT_SETTING, shared_folder
 from gustline.sources.sinks import write_alerts, write_console, write_rows
 from gustline.streaming.delivery import start_notifications
-from gustline.streaming.feeds import publish_matches, start_feed
-from gustline.streaming.jobs import SHUFFLES, drain, start_detectors, state_settings
-from gustline.streaming.suppression import first_per_second, suppress_repeats_stream
+from gustline.streaming.feeds import publish_matches, publish_readings, start_feed
+from gustline.streaming.jobs import SHUFFLES, delivered, drain, start_detectors, state_settings
+from gustline.streaming.suppression import AT, first_per_time, suppress_repeats_stream
 
 FEW = 2
 
@@ -124,12 +125,30 @@ def test_rows_without_time_pass_the_state(spark, folder):
     assert sorted(r.id for r in out.collect()) == [5, 6]
 
 
-def test_held_rows_are_one_per_second():
-    at = pd.Timestamp("2024-03-01")
-    rows = pd.DataFrame({"t": [at + pd.Timedelta(ms, "ms") for ms in (1500, 900, 100, 1200)] + [None],
-                         "k": ["a", "a", "b", "a", "a"], "o": [1, 2, 3, 4, 5]})
-    assert first_per_second(rows, ["k"], "t", ["o"]).o.tolist() == [3, 2, 4]
-    assert first_per_second(rows, [], "t", ["o"]).o.tolist() == [3, 4]
+def test_held_rows_are_one_per_time():
+    rows = pd.DataFrame({AT: [1500, 900, 100, 900, None], "k": ["a", "a", "b", "a", "a"], "o": [1, 4, 3, 2, 5]})
+    assert first_per_time(rows, ["k"], ["o"]).o.tolist() == [3, 2, 1]
+    assert first_per_time(rows, [], ["o"]).o.tolist() == [3, 2, 1]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("change", ["2024-03-10 07:00:00", "2024-11-03 06:00:00"])
+def test_streams_count_through_changes_of_the_clock(spark, folder, zone, change):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        at = F.lit(change).cast("timestamp") + F.make_dt_interval(secs=F.col("id") * 59.5)
+        spark.range(-70, 70).select(
+            F.lit("k").alias("city"), F.lit("t").alias("alert_type"), F.lit("a").alias("anomaly"), at.alias("alert_time"),
+            F.lit("VN").alias("country"), "id", F.col("id").alias("alert_uid"),
+        ).coalesce(1).write.parquet(f"{folder}/feed")
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        rows = spark.read.parquet(f"{folder}/feed")
+        out, _ = run(spark, folder, suppress_repeats_stream(spark.readStream.schema(rows.schema).parquet(f"{folder}/feed")))
+        kept = sorted(r.id for r in out.select("id").collect())
+        assert kept == sorted(r.id for r in suppress_repeats(rows).select("id").collect()) == list(range(-70, 70, 31))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
 
 
 def test_suppression_by_processing_clock(spark, folder):
@@ -165,7 +184,7 @@ def test_match_feed_routes_and_checks(spark, folder):
     sent = spark.read.parquet(f"{folder}/topics")
     assert sorted((r.topic, bytes(r.key)) for r in sent.collect()) == [
         ("football_history", b"1"), ("football_live", b"2"), ("football_live", b"3")]
-    with pytest.raises(Exception, match="Missing one or more required fields"):
+    with pytest.raises(Exception, match="matches lack required keys in live_football"):
         start([json.dumps({"matches": [{"id": 4, "status": "TIMED"}]})])
     assert spark.read.parquet(f"{folder}/topics").count() == 3
 
@@ -184,6 +203,31 @@ def test_notifications_are_gathered_by_alert(spark, folder):
     assert "41.0°C" in sent[1].body
 
 
+def test_junk_payloads_are_not_published(spark, folder):
+    good = json.dumps({"id": 5, "name": "a", "sys": {"country": "VN"}, "dt": 1709251200, "main": {"temp": 1.5}})
+    lines = [good, "not json", '{"id": "five"}', "[1]"]
+    raw = spark.createDataFrame([(line,) for line in lines], "value STRING")
+    with pytest.raises(ValidationError, match="3 of 4"):
+        publish_readings(raw, kind="files", folder=f"{folder}/topics", most_rejects=0)
+    counted = publish_readings(raw, kind="files", folder=f"{folder}/topics", rejects=f"{folder}/rejects")
+    assert counted == {"n": 4, "n_rejected": 3}
+    assert [bytes(r.key) for r in spark.read.parquet(f"{folder}/topics").collect()] == [b"5"]
+    reasons = spark.read.json(f"{folder}/rejects").groupBy("reason").count().collect()
+    assert sorted(map(tuple, reasons)) == [("not an object", 2), ("wrong type", 1)]
+
+
+def test_topics_have_limits_and_folders_no_offsets(spark, folder):
+    readings(spark, [reading()]).write.parquet(folder)
+    assert TRIGGER_LIMITS["files"]["maxFilesPerTrigger"] and TRIGGER_LIMITS["kafka"]["maxOffsetsPerTrigger"]
+    with pytest.raises(ValueError, match="starting"):
+        read_topic(spark, "t", "files", folder=folder, starting="latest")
+
+
+def test_progress_tells_what_was_delivered(spark, folder):
+    out, query = run(spark, folder, feed(spark, folder, [reading(), reading(id=2)]).select("id"))
+    assert sum(p["rows_in"] for p in delivered(query)) == out.count() == 2
+
+
 def test_clock_is_checked(spark):
     with pytest.raises(ValueError):
         suppress_repeats_stream(spark.range(1), clock="moon")
@@ -209,6 +253,29 @@ def test_settings_are_restored(spark):
     assert spark.conf.get(SHUFFLES) == before
 
 
+def test_state_partitions_follow_the_session_not_the_cores(spark):
+    before = spark.conf.get(SHUFFLES)
+    spark.conf.set(SHUFFLES, "999")
+    try:
+        with state_settings(spark):
+            assert spark.conf.get(SHUFFLES) == "999"
+    finally:
+        spark.conf.set(SHUFFLES, before)
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    class Session:
+        class conf:
+            get = staticmethod(lambda name, default: None)
+
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match=CHECKPOINT_SETTING):
+        shared_folder(Session)
+
+
 def test_shared_folder_follows_the_session(spark):
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
     if configured:

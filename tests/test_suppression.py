@@ -61,6 +61,37 @@ def test_retention_edges(spark):
         assert seconds_of(suppress_repeats(rows(spark, [(0, {}), (gap, {})]))) == kept
 
 
+def test_fractions_of_a_second_count(spark):
+    for first, second, n in [(0.9, 1800.2, 1), (0.2, 1800.2, 2), (0.2, 1800.199999, 1), (0.0, 1799.3, 1)]:
+        assert suppress_repeats(rows(spark, [(first, {}), (second, {})])).count() == n
+
+
+def test_dense_stretches_get_shorter_blocks(spark):
+    """The same result when a block may hold few times, and for each way to cut them."""
+    times = [i * 37.5 + (i % 7) / 10 for i in range(900)]
+    frame = rows(spark, [(t, dict(id=i)) for i, t in enumerate(times)])
+    whole = sorted(r.id for r in suppress_repeats(frame).collect())
+    assert whole == [times.index(t) for t in chain(times, 1800)]
+    for block_times in (2, 50):
+        assert sorted(r.id for r in suppress_repeats(frame, block_times=block_times).collect()) == whole
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_shuffled_once(spark):
+    """Without broadcasts the wide rows meet what is kept by an inner join, whose shuffle the grouping uses too."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(suppress_repeats(rows(spark, [(0, {}), (10, {})])))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "LeftOuter" not in plan and "SortMergeJoin" in plan
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
 def test_a_repeat_does_not_extend_the_silence(spark):
     assert seconds_of(suppress_repeats(rows(spark, [(0, {}), (1700, {}), (1900, {})]))) == [0, 1900]
 
