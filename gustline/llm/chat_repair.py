@@ -12,7 +12,7 @@ from gustline.sources.shared import write_stage
 #: The roles, their other names, and the costs of the repairs.
 ROLES = ("system", "user", "assistant")
 NAMES = {"human": "user", "prompter": "user", "customer": "user", "bot": "assistant", "gpt": "assistant", "ai": "assistant", "model": "assistant", "developer": "system"}
-MERGE, RELABEL, RELABEL_UNKNOWN, INSERT = 1, 3, 1, 4
+MERGE, RELABEL, RELABEL_UNKNOWN, INSERT = 1, 6, 1, 4
 #: What begins a turn, ends it, and joins merged texts.
 OPEN, CLOSE, JOIN = "<|{role}|>\n", "<|end|>\n", "\n"
 
@@ -154,7 +154,7 @@ def repair(
 
     The automaton accepts an optional system turn, then user and assistant in turn, ending with the
     assistant. Dynamic programming over its states finds the cheapest way to get there: a turn keeps its
-    role, is relabelled (3; 1 if its role is unknown), is merged into the one before (1), and empty turns are inserted (4). `action` tells
+    role, is relabelled (6; 1 if its role is unknown), is merged into the one before (1), and empty turns are inserted (4). `action` tells
     which: keep, relabel, merge, relabel and merge, or insert. The `rendered` pieces of a conversation, joined in order of `place` and
     `part`, are its training text.
 
