@@ -1,11 +1,19 @@
 """Connected components of a graph given as pairs of longs, and links among members of shared buckets."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gustline.sources.shared import write_stage
 
 
+def _written(pairs: DataFrame) -> tuple[DataFrame, tuple]:
+    """The distinct pairs as a written table, and their number and sum of hashes, taken on the way."""
+    seen = Observation()
+    total = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("total")
+    table = write_stage(pairs.distinct().observe(seen, F.count("*").alias("n"), total), "edges")
+    return table, (seen.get["n"], seen.get["total"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every node of `edges` (a, b); component is the smallest id reachable.
 
@@ -18,19 +26,16 @@ def components(edges: DataFrame) -> DataFrame:
     """
     pairs = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
     pairs = pairs.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    pairs, mark = write_stage(pairs.distinct(), "edges"), None
-    while True:
-        count, total = pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if (count, total) == mark or not count:
-            break
-        mark = (count, total)
+    (pairs, mark), before = _written(pairs), None
+    while mark[0] and mark != before:
+        before = mark
         both = pairs.union(pairs.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        pairs = write_stage(small.union(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        pairs, mark = _written(small.union(least.select("a", F.col("m").alias("b"))))
     stars = pairs.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return stars.union(pairs.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
