@@ -107,4 +107,27 @@ ORACLES = {
             sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    # The given pages hold no canonical links or refreshes, so spellings of one address are all the
+    # aliases there are; tests cover the links.
+    "op6_url_rules": f"""
+        WITH p AS (
+            SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{_UPPER}', '{_LOWER}') AS host,
+                coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path,
+                regexp_replace(regexp_replace(coalesce(regexp_extract(url, '://[^?#]*\\?([^#]*)', 1), ''), '(?:^|&)utm_[^&]*', '', 'g'), '^&', '') AS query
+            FROM pages
+        ),
+        rules AS (
+            SELECT unnest([{", ".join(f"'{r}'" for r, _ in url_rules.RULES)}]) AS rule, unnest([{", ".join(f"'{v}'" for _, v in url_rules.RULES)}]) AS verdict
+        ),
+        fits AS (
+            SELECT page_id, rule, verdict FROM p, (SELECT *, split_part(rule, '/', 1) AS h, substr(rule, strpos(rule, '/')) AS s FROM rules)
+            WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, s)
+            QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC) = 1
+        ),
+        judged AS (SELECT p.*, rule, verdict, host || regexp_replace(path, '/$', '') || CASE WHEN query <> '' THEN '?' || query ELSE '' END AS address
+            FROM p LEFT JOIN fits USING (page_id))
+        SELECT page_id, host, path, rule,
+            coalesce(verdict, CASE WHEN bool_or(verdict = 'block') OVER (PARTITION BY address) THEN 'block' ELSE 'allow' END) AS verdict
+        FROM judged
+    """,
 }
