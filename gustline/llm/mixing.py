@@ -14,8 +14,8 @@ WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 #: Documents of a block, about, and most blocks of a source (more documents make larger blocks). Blocks are what the tree deals.
 BLOCK_DOCS, MOST_BLOCKS = 200, 65_536
-#: The table of sources (name, size, number of documents) goes through the driver up to so many.
-MOST_SOURCES = 1_000_000
+#: The table of sources (name, size, target) goes through the driver and to all tasks, up to so many.
+MOST_SOURCES = 200_000
 #: Words of a shard, about; least number of shards; parts of a shard that are sorted apart.
 SHARD_WORDS, LEAST_SHARDS, SHARD_PIECES = 100_000_000, 16, 16
 SEED = 17
@@ -117,12 +117,12 @@ def mix_plan(
     def drawn(salt: int, *columns):
         return F.xxhash64(F.lit(seed * 10 + salt), *columns)
 
-    placed = sized.join(table.select("name", "blocks"), "name").select(
+    placed = sized.join(F.broadcast(table.select("name", "blocks")), "name").select(
         "doc_id", "digest", "size", "name",
         F.pmod(drawn(1, "name", "doc_id", "digest"), "blocks").alias("block"), drawn(2, "name", "doc_id", "digest").alias("draw"),
     )
     order = Window.partitionBy("name").orderBy(drawn(3, "name", "block"), "block")
-    blocks = placed.groupBy("name", "block").agg(F.sum("size").alias("words")).join(table, "name")
+    blocks = placed.groupBy("name", "block").agg(F.sum("size").alias("words")).join(F.broadcast(table), "name")
     blocks = blocks.withColumn("rank", F.row_number().over(order) - 1).withColumn("before", F.sum("words").over(order) - F.col("words"))
     blocks = blocks.withColumn("extra", F.col("before") < F.col("rest"))
     blocks = write_stage(blocks, "blocks")
