@@ -137,7 +137,7 @@ def test_substrings_of_awkward_rows(awkward, nothing):
     assert len(found) == len(AWKWARD) and substring_dedup.repeats_digest(nothing).count() == 0
     # The row without an id stands first; rows with equal ids are one document, of which the other text repeats.
     assert Counter((r.doc_id, r.n_words, r.n_removed) for r in found) >= Counter(
-        {(None, 60, 0): 1, (4, 60, 60): 2, (4, 90, 60): 1, (8, 61, 0): 1, (5, 30000, 0): 1, (1, 0, 0): 1})
+        {(None, 60, 0): 1, (4, 60, 60): 2, (4, 90, 60): 1, (8, 61, 60): 1, (5, 30000, 0): 1, (1, 0, 0): 1})
 
 
 @settings(max_examples=50, deadline=None)
@@ -198,7 +198,7 @@ def test_mix_of_awkward_rows(awkward, nothing):
 
 def test_base_counts():
     text = "a b c d\n a b c # 5% \n\na b c d\néé 中".encode()
-    assert fertility.base_counts(text, text.split()) == (19, 2, 1, 11)
+    assert fertility.base_counts(text, text.split()) == (17, 2, 1, 11)
     assert fertility.base_counts(b"", []) == (0, 0, 0, 0)
 
 
