@@ -13,8 +13,9 @@ from gustline.llm.text import plain_words, record, slices, texts
 
 #: Words of a window.
 WIDTH = 10
-#: Characters of benchmark text that one automaton may be built of; about 60 bytes of memory each.
-MOST_CHARACTERS = 4_000_000
+#: Bytes of benchmark text that one automaton may be built of. A word stands in ten windows, so each byte
+#: makes about ten nodes, which take some 300 bytes of a worker's memory.
+MOST_CHARACTERS = 500_000
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 

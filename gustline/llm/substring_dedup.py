@@ -195,7 +195,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     starts. A null id stands before all others. Kept words are joined by single spaces.
     """
     count = bucket_count(docs, text_col)
-    ident = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
     read = texts(docs, id_col, text_col, F.xxhash64(F.col(text_col).cast("string")).alias("digest"))
 
     def send(batches):
@@ -229,4 +228,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def repeats_digest(docs: DataFrame) -> DataFrame:
+    """The counts of `remove_repeats` and a hash of the kept text."""
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

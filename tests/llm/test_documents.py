@@ -3,7 +3,6 @@
 import hashlib
 import math
 import random
-import re
 import zlib
 from collections import Counter
 
