@@ -4,7 +4,6 @@ import json
 from uuid import uuid4
 
 import pytest
-from pyspark.sql import functions as F
 
 from gustline.operators.quality import ValidationError
 from gustline.plans.daily import run_batch
