@@ -26,10 +26,11 @@ def path(url: Column) -> Column:
 
 def address(url: Column) -> Column:
     """What spellings of one address share, which sites redirect to each other: no scheme, fragment,
-    tracking parameters or last slash, and a host in lower case."""
+    tracking parameters or last slash, and a host in lower case. What is no url is its own address."""
     query = F.regexp_replace(F.regexp_extract(url, r"://[^/?#]*[^?#]*\?([^#]*)", 1), r"(?:^|&)utm_[^&]*", "")
     query = F.regexp_replace(query, "^&", "")
-    return F.concat(host(url), F.regexp_replace(path(url), "/$", ""), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
+    plain = F.concat(host(url), F.regexp_replace(path(url), "/$", ""), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
+    return F.when(url.contains("://"), plain).otherwise(url)
 
 
 def resolved(link: Column, base: Column) -> Column:

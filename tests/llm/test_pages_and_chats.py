@@ -49,9 +49,10 @@ def test_blocks_reach_aliases_but_not_allowed_urls(spark):
         (1, "http://a.net/1", canonical.format("http://x.com/de/1")), (2, "https://a.net/1/", None), (3, "http://b.net/2", '<META content="0; URL=/3" http-equiv=refresh>'),
         (4, "http://b.net/3", None), (5, "http://y.org/1", canonical.format("http://a.net/1")), (6, "http://c.net/", None), (7, "http://d.net/p?utm_source=x", None), (1, "http://a.net/1", None),
     ]
-    found = judged(spark, rows, redirects=[("http://b.net/2", "http://b.net/4"), ("http://b.net/4", "http://x.com/de/9"), ("http://d.net/p", "http://d.net/q")])
+    rows += [(8, "one", None), (9, "two", None)]
+    found = judged(spark, rows, redirects=[("one", "http://x.com/de/3"), ("http://b.net/2", "http://b.net/4"), ("http://b.net/4", "http://x.com/de/9"), ("http://d.net/p", "http://d.net/q")])
     assert {i: (r.rule, r.verdict) for i, r in found.items()} == {
-        1: (None, "block"), 2: (None, "block"), 3: (None, "block"), 4: (None, "block"), 5: ("org/", "allow"), 6: (None, "allow"), 7: (None, "allow")}
+        1: (None, "block"), 2: (None, "block"), 3: (None, "block"), 4: (None, "block"), 5: ("org/", "allow"), 6: (None, "allow"), 7: (None, "allow"), 8: (None, "block"), 9: (None, "allow")}
 
 
 def test_urls_of_no_pages_and_without_rules(spark):
