@@ -40,6 +40,21 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.union(pairs.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
+#: Longs of a map of bits, and so most rows of it.
+MAP_SLOTS = 2**16
+
+
+def marked(frame: DataFrame, used: DataFrame, *keys: str) -> DataFrame:
+    """The rows whose keys may be among those of `used`: all that are, and few others while `used` is
+    small. The map of 4 million bits that tells is sent to all tasks; it has one size for every input."""
+    place = F.xxhash64(*keys)
+    slot, bit = F.shiftright(place, 6).bitwiseAND(F.lit(MAP_SLOTS - 1)), place.bitwiseAND(F.lit(63)).cast("int")
+    marks = used.select(slot.alias("__slot"), bit.alias("__bit")).distinct()
+    marks = marks.groupBy("__slot").agg(F.bit_or(F.expr("shiftleft(1L, __bit)")).alias("__marks"))
+    likely = frame.withColumn("__slot", slot).withColumn("__bit", bit).join(F.broadcast(marks), "__slot")
+    return likely.where(F.expr("(shiftright(__marks, __bit) & 1L) = 1L")).drop("__slot", "__bit", "__marks")
+
+
 def bucket_components(members: DataFrame, near: Column, check=None) -> DataFrame:
     """(id, component) of the members that some link ties to another member.
 
@@ -50,15 +65,17 @@ def bucket_components(members: DataFrame, near: Column, check=None) -> DataFrame
     yet. So a bucket of copies costs its size, and no link that changes a component is lost.
     """
     check = check or (lambda pairs: pairs)
-    heads = members.groupBy("key").agg(F.min(F.struct("id", "bits")).alias("head"), F.count("*").alias("n"))
-    heads = heads.where("n > 1")
+    # Most buckets hold one member. They are told by their keys alone, before whole rows are shuffled.
+    shared = write_stage(members.groupBy("key").count().where("count > 1").select("key"), "shared-keys")
+    members = write_stage(marked(members, shared, "key").join(shared, "key"), "members")
+    heads = members.groupBy("key").agg(F.min(F.struct("id", "bits")).alias("head"))
     met = members.join(heads, "key").select(
         F.col("id").alias("a"), F.col("head.id").alias("b"), F.col("bits").alias("x"), F.col("head.bits").alias("y")
     )
     met = met.where((F.col("a") != F.col("b")) & near).select("a", "b").distinct()
     first = write_stage(components(check(met)), "components")
 
-    known = members.join(heads.select("key"), "key", "left_semi").join(first, "id", "left")
+    known = members.join(first, "id", "left")
     known = known.select("key", "id", "bits", F.coalesce("component", "id").alias("c"))
     mixed = known.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
     left = known.join(mixed.select("key"), "key", "left_semi")
