@@ -301,6 +301,25 @@ def test_line_groups_equal_brute_force(spark):
     assert {r.doc_id: r.kept_doc_id for r in fuzzy_lines.line_groups(docs).collect()} == expected and expected
 
 
+def test_most_similar_lines_are_linked(spark):
+    """Against edit similarity alone, whatever the fingerprints: at each length nine of ten edited lines meet their origin."""
+    rnd = random.Random(11)
+    pairs = []
+    for n in (5, 8, 12, 20, 30, 50, 100):
+        for k in range(40):
+            line = [f"{rnd.choice(VOCABULARY)}{rnd.choice(VOCABULARY)[:2]}" for _ in range(n)]
+            edited = [*line]
+            for _ in range(max(1, n * (k % 4) // 20)):
+                edited[rnd.randrange(n)] = rnd.choice(VOCABULARY)
+            pairs.append((n, " ".join(line), " ".join(edited)))
+    docs = documents(spark, [(2 * i + j, pair[1 + j], "") for i, pair in enumerate(pairs) for j in (0, 1)])
+    kept = {r.doc_id: r.kept_doc_id for r in fuzzy_lines.line_groups(docs).collect()}
+    for n in {p[0] for p in pairs}:
+        similar = [i for i, (m, a, b) in enumerate(pairs) if m == n and distance(a, b) <= 0.2 * max(len(a), len(b))]
+        linked = sum(kept.get(2 * i + 1) == 2 * i for i in similar)
+        assert len(similar) >= 20 and linked >= 0.9 * len(similar), (n, linked, len(similar))
+
+
 def test_lines_of_awkward_rows(awkward, nothing):
     assert fuzzy_lines.line_report(awkward).count() == len(AWKWARD) and fuzzy_lines.line_report(nothing).count() == 0
     left = fuzzy_lines.drop_repeated_lines(awkward)
