@@ -320,6 +320,11 @@ def test_most_similar_lines_are_linked(spark):
         assert len(similar) >= 20 and linked >= 0.9 * len(similar), (n, linked, len(similar))
 
 
+def test_a_line_of_symbols_is_left(spark):
+    docs = documents(spark, [(1, "the same line", ""), (2, "the same line\n\u2605\U0001f600", ""), (3, "the same line\n...", "")])
+    assert {r.doc_id: r.text for r in fuzzy_lines.drop_repeated_lines(docs).collect()} == {1: "the same line", 2: "\u2605\U0001f600"}
+
+
 def test_lines_of_awkward_rows(awkward, nothing):
     assert fuzzy_lines.line_report(awkward).count() == len(AWKWARD) and fuzzy_lines.line_report(nothing).count() == 0
     left = fuzzy_lines.drop_repeated_lines(awkward)
