@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gustline.llm import bloom_lm, chat_repair, decontaminate, fertility, fuzzy_lines, host_boilerplate, mixing, simhash_docs, substring_dedup, url_rules
+from gustline.llm import bloom_lm, chat_repair, decontaminate, exact_search, fertility, fuzzy_lines, host_boilerplate, mixing, simhash_docs, substring_dedup, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_docs.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_search.top_products(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_chat_repair": op1_chat_repair,
     "op2_decontaminate": op2_decontaminate,
@@ -61,6 +65,7 @@ QUERIES = {
     "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_bloom_lm": op9_bloom_lm,
     "op10_simhash": op10_simhash,
+    "op13_exact_topk": op13_exact_topk,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -107,6 +112,16 @@ ORACLES = {
             sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
     """,
+    "op13_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q
+            FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        )
+        SELECT a.vec_id AS query_id, row_number() OVER best::INTEGER AS rank, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+        FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0
+        WINDOW best AS (PARTITION BY a.vec_id ORDER BY list_inner_product(a.q, b.q) DESC, b.vec_id)
+        QUALIFY rank <= 20
+    """,
     # The given pages hold no canonical links or refreshes, so spellings of one address are all the
     # aliases there are; tests cover the links.
     "op6_url_rules": f"""
