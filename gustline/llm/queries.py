@@ -1,8 +1,11 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gustline.llm import bloom_lm, chat_repair, decontaminate, exact_search, fertility, fuzzy_lines, host_boilerplate, mixing, simhash_docs, substring_dedup, url_rules
+from gustline.llm import bloom_lm, chat_repair, decontaminate, exact_search, fertility, fuzzy_lines, host_boilerplate, manifest, mixing, simhash_docs, substring_dedup, url_rules
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +53,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_docs.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return manifest.audited(_table(spark, sf_dir, "documents"), {"text": F.translate("text", _UPPER, _LOWER)}, tampered)
+
+
 def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_search.top_products(_table(spark, sf_dir, "embeddings"))
 
@@ -65,15 +73,67 @@ QUERIES = {
     "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_bloom_lm": op9_bloom_lm,
     "op10_simhash": op10_simhash,
+    "op12_manifest": op12_manifest,
     "op13_exact_topk": op13_exact_topk,
 }
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PLAIN = f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 _SPACED = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
+_HASHED = "coalesce(octet_length(encode({0}::VARCHAR))::VARCHAR || ':' || {0}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_HASHED.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _climb(name: str, rounds: int) -> str:
+    """CTEs that take the nodes `<name>0` (g, at, n, digest) up: level k + 1 from level k, as long as a g has more than one node."""
+    return ", ".join(f"""
+        {name}{k + 1} AS (
+            SELECT g, at // 8 AS at, (any_value(n) + 7) // 8 AS n,
+                CASE WHEN any_value(n) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY at)) END AS digest
+            FROM {name}{k} GROUP BY g, at // 8
+        )""" for k in range(rounds))
+
+
+def _fold(name: str, nodes: str, rounds: int) -> str:
+    """CTEs that take the rows `<name>0` (row, g, at, folded, proof) through those levels, beside their siblings."""
+    return ", ".join(f"""
+        {name}{k + 1} AS (
+            SELECT f.row, any_value(f.g) AS g, any_value(f.at) // 8 AS at,
+                CASE WHEN any_value(n) = 1 THEN any_value(folded) ELSE sha256(string_agg(CASE WHEN s.at = f.at THEN folded ELSE digest END, '' ORDER BY s.at)) END AS folded,
+                any_value(proof) || coalesce(string_agg(digest, '' ORDER BY s.at) FILTER (s.at <> f.at), '') AS proof
+            FROM {name}{k} f JOIN {nodes}{k} s ON s.g = f.g AND s.at // 8 = f.at // 8 GROUP BY f.row
+        )""" for k in range(rounds))
+
+
 ORACLES = {
+    # crc32 is spelt out: a table of 256 remainders, made by rule, and one step for each digit.
+    "op12_manifest": f"""
+        WITH remainders AS (
+            SELECT list(list_reduce(list_concat([n], range(8)), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY n) AS t
+            FROM range(256) r(n)
+        ),
+        d AS (
+            SELECT row_number() OVER () AS row, doc_id, coalesce('=' || lang, '-') AS g, {_leaf("text")} AS leaf,
+                CASE WHEN xor(list_reduce(list_concat([4294967295], list_transform(regexp_extract_all(doc_id::VARCHAR, '.'), lambda x: ascii(x)::BIGINT)),
+                    lambda c, b: xor(c >> 8, t[xor(c, b) & 255 + 1])), 4294967295) % 3 = 0
+                THEN {_leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} ELSE {_leaf("text")} END AS changed
+            FROM documents, remainders
+        ),
+        a0 AS (SELECT g, row_number() OVER (PARTITION BY g ORDER BY doc_id) - 1 AS at, count(*) OVER (PARTITION BY g) AS n, leaf AS digest, row, changed, doc_id FROM d),
+        {_climb("a", 9)},
+        b0 AS (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS at, count(*) OVER () AS n, digest, g AS member FROM a9),
+        {_climb("b", 3)},
+        f0 AS (SELECT row, g, at, changed AS folded, '' AS proof FROM a0),
+        {_fold("f", "a", 9)},
+        h0 AS (SELECT row, '' AS g, b0.at, folded, proof FROM f9 JOIN b0 ON member = f9.g),
+        {_fold("h", "b", 3)}
+        SELECT a0.doc_id, a0.digest AS leaf, b0.digest AS subroot, b3.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = b3.digest AS verified
+        FROM a0 JOIN b0 ON member = a0.g JOIN h3 USING (row), b3
+    """,
     "op3_substrings": f"""
         WITH d AS (SELECT doc_id, {_SPACED} AS w FROM documents),
         windows AS (

@@ -1,0 +1,85 @@
+"""The manifest against a tree built in plain Python."""
+
+import hashlib
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+from test_documents import AWKWARD, LAYOUT
+
+from gustline.llm import manifest
+
+
+def h(*parts):
+    return hashlib.sha256(b"".join(p if isinstance(p, bytes) else p.encode() for p in parts)).hexdigest()
+
+
+def leaf(row, text):
+    doc_id, _, lang, source, n_chars = row[:5]
+    fields = [None if f is None else str(f).encode() for f in (doc_id, source, lang, n_chars, text)]
+    return h(*[b"-" if f is None else str(len(f)).encode() + b":" + f for f in fields])
+
+
+def climb(nodes, at, digest, proof):
+    """The top over the nodes, the one with another digest at `at`, and the siblings passed."""
+    other = list(nodes)
+    other[at] = digest
+    while len(nodes) > 1:
+        first = at // 8 * 8
+        proof += [n for k, n in enumerate(nodes[first : first + 8], first) if k != at]
+        nodes, other = ([h(*x[k : k + 8]) for k in range(0, len(x), 8)] for x in (nodes, other))
+        at //= 8
+    return nodes[0], other[0]
+
+
+def brute(rows, tampered):
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[2], []).append(row)
+    order = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    for g in order:
+        groups[g].sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r, r[1])))
+    tops = [climb([leaf(r, r[1]) for r in groups[g]], 0, "", [])[0] for g in order]
+    for k, g in enumerate(order):
+        leaves = [leaf(r, r[1]) for r in groups[g]]
+        for at, row in enumerate(groups[g]):
+            text = row[1].translate({c: c + 32 for c in range(65, 91)}) if row[1] and tampered(row[0]) else row[1]
+            proof = []
+            subroot, folded = climb(leaves, at, leaf(row, text), proof)
+            root, folded = climb(tops, k, folded, proof)
+            yield row[0], leaves[at], subroot, root, h(*proof), folded, folded == root
+
+
+def crc(doc_id):
+    return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 3 == 0
+
+
+def held(spark, rows):
+    docs = spark.createDataFrame(rows, LAYOUT)
+    lowered = {"text": F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")}
+    found = manifest.audited(docs, lowered, F.crc32(F.col("doc_id").cast("string")) % 3 == 0)
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(brute(rows, crc), key=str)
+
+
+def spread(n, langs):
+    return [(i, f"Text {i}", langs[i % len(langs)], "s", i, 1, "x", 2) for i in range(n)]
+
+
+@pytest.mark.parametrize("n, langs", [(1, ["en"]), (8, ["en"]), (9, ["en", "de"]), (200, ["en", "en", None, "", "zü"]), (90, [str(k) for k in range(30)])])
+def test_manifest_agrees_with_a_plain_tree(spark, n, langs):
+    held(spark, spread(n, langs))
+
+
+def test_manifest_over_many_chunks(spark, monkeypatch):
+    monkeypatch.setattr(manifest, "CHUNK", 64)
+    monkeypatch.setattr(manifest, "LEVELS", 2)
+    monkeypatch.setattr(manifest, "SORTED_ROWS", 700)
+    # Chunks of 64 leaves and two levels: groups of 4,800 rows take three rounds, others one or two.
+    held(spark, spread(6400, ["en"] * 48 + ["de"] * 15 + ["fr"]))
+    held(spark, spread(520, [f"l{k}" for k in range(260)]))
+
+
+def test_manifest_of_awkward_rows(spark):
+    rows = [(i, t, lang, s, None if t is None else len(t), 7, "x", 3) for k, (i, t, s) in enumerate(AWKWARD) for lang in ("en", None)[: 1 + k % 2]]
+    held(spark, rows)
+    held(spark, [])
