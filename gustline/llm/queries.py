@@ -89,23 +89,23 @@ def _leaf(text: str) -> str:
 
 
 def _climb(name: str, rounds: int) -> str:
-    """CTEs that take the nodes `<name>0` (g, at, n, digest) up: level k + 1 from level k, as long as a g has more than one node."""
+    """CTEs that take the nodes `<name>0` (g, pos, n, digest) up: level k + 1 from level k, as long as a g has more than one node."""
     return ", ".join(f"""
         {name}{k + 1} AS (
-            SELECT g, at // 8 AS at, (any_value(n) + 7) // 8 AS n,
-                CASE WHEN any_value(n) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY at)) END AS digest
-            FROM {name}{k} GROUP BY g, at // 8
+            SELECT g, pos // 8 AS pos, (any_value(n) + 7) // 8 AS n,
+                CASE WHEN any_value(n) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY pos)) END AS digest
+            FROM {name}{k} GROUP BY g, pos // 8
         )""" for k in range(rounds))
 
 
 def _fold(name: str, nodes: str, rounds: int) -> str:
-    """CTEs that take the rows `<name>0` (row, g, at, folded, proof) through those levels, beside their siblings."""
+    """CTEs that take the rows `<name>0` (row, g, pos, folded, proof) through those levels, beside their siblings."""
     return ", ".join(f"""
         {name}{k + 1} AS (
-            SELECT f.row, any_value(f.g) AS g, any_value(f.at) // 8 AS at,
-                CASE WHEN any_value(n) = 1 THEN any_value(folded) ELSE sha256(string_agg(CASE WHEN s.at = f.at THEN folded ELSE digest END, '' ORDER BY s.at)) END AS folded,
-                any_value(proof) || coalesce(string_agg(digest, '' ORDER BY s.at) FILTER (s.at <> f.at), '') AS proof
-            FROM {name}{k} f JOIN {nodes}{k} s ON s.g = f.g AND s.at // 8 = f.at // 8 GROUP BY f.row
+            SELECT f.row, any_value(f.g) AS g, any_value(f.pos) // 8 AS pos,
+                CASE WHEN any_value(n) = 1 THEN any_value(folded) ELSE sha256(string_agg(CASE WHEN s.pos = f.pos THEN folded ELSE digest END, '' ORDER BY s.pos)) END AS folded,
+                any_value(proof) || coalesce(string_agg(digest, '' ORDER BY s.pos) FILTER (s.pos <> f.pos), '') AS proof
+            FROM {name}{k} f JOIN {nodes}{k} s ON s.g = f.g AND s.pos // 8 = f.pos // 8 GROUP BY f.row
         )""" for k in range(rounds))
 
 
@@ -119,17 +119,17 @@ ORACLES = {
         d AS (
             SELECT row_number() OVER () AS row, doc_id, coalesce('=' || lang, '-') AS g, {_leaf("text")} AS leaf,
                 CASE WHEN xor(list_reduce(list_concat([4294967295], list_transform(regexp_extract_all(doc_id::VARCHAR, '.'), lambda x: ascii(x)::BIGINT)),
-                    lambda c, b: xor(c >> 8, t[xor(c, b) & 255 + 1])), 4294967295) % 3 = 0
+                    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 3 = 0
                 THEN {_leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} ELSE {_leaf("text")} END AS changed
             FROM documents, remainders
         ),
-        a0 AS (SELECT g, row_number() OVER (PARTITION BY g ORDER BY doc_id) - 1 AS at, count(*) OVER (PARTITION BY g) AS n, leaf AS digest, row, changed, doc_id FROM d),
+        a0 AS (SELECT g, row_number() OVER (PARTITION BY g ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n, leaf AS digest, row, changed, doc_id FROM d),
         {_climb("a", 9)},
-        b0 AS (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS at, count(*) OVER () AS n, digest, g AS member FROM a9),
+        b0 AS (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n, digest, g AS member FROM a9),
         {_climb("b", 3)},
-        f0 AS (SELECT row, g, at, changed AS folded, '' AS proof FROM a0),
+        f0 AS (SELECT row, g, pos, changed AS folded, '' AS proof FROM a0),
         {_fold("f", "a", 9)},
-        h0 AS (SELECT row, '' AS g, b0.at, folded, proof FROM f9 JOIN b0 ON member = f9.g),
+        h0 AS (SELECT row, '' AS g, b0.pos, folded, proof FROM f9 JOIN b0 ON member = f9.g),
         {_fold("h", "b", 3)}
         SELECT a0.doc_id, a0.digest AS leaf, b0.digest AS subroot, b3.digest AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = b3.digest AS verified
         FROM a0 JOIN b0 ON member = a0.g JOIN h3 USING (row), b3
