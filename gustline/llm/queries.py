@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustline.llm import bloom_lm, chat_repair, decontaminate, exact_search, fertility, fuzzy_lines, host_boilerplate, manifest, mixing, simhash_docs, substring_dedup, url_rules
+from gustline.llm import bloom_lm, chat_repair, decontaminate, exact_search, fertility, fuzzy_lines, host_boilerplate, manifest, mixing, ranked_search, simhash_docs, substring_dedup, url_rules
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -53,6 +53,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_docs.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
     return manifest.audited(_table(spark, sf_dir, "documents"), {"text": F.translate("text", _UPPER, _LOWER)}, tampered)
@@ -73,6 +77,7 @@ QUERIES = {
     "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_bloom_lm": op9_bloom_lm,
     "op10_simhash": op10_simhash,
+    "op11_ranked_search": op11_ranked_search,
     "op12_manifest": op12_manifest,
     "op13_exact_topk": op13_exact_topk,
 }
@@ -110,6 +115,21 @@ def _fold(name: str, nodes: str, rounds: int) -> str:
 
 
 ORACLES = {
+    "op11_ranked_search": f"""
+        WITH tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_PLAIN}) AS term FROM documents) GROUP BY doc_id, term),
+        sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+        totals AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        asked AS (SELECT DISTINCT item_id, unnest({_PLAIN}) AS term FROM benchmark),
+        scored AS (
+            SELECT item_id, doc_id, sum(
+                floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms)))
+            )::BIGINT AS score
+            FROM asked JOIN tf USING (term) JOIN df USING (term) JOIN sizes USING (doc_id), totals GROUP BY item_id, doc_id
+        )
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+        FROM scored WHERE score > 0 QUALIFY rank <= 50
+    """,
     # crc32 is spelt out: a table of 256 remainders, made by rule, and one step for each digit.
     "op12_manifest": f"""
         WITH remainders AS (
