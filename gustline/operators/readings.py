@@ -20,28 +20,55 @@ PLACES = [
 ]
 
 
-CORRUPT = "_corrupt"
+CORRUPT, PARSED = "_corrupt", "_parsed"
 # Why a payload is rejected.
 NOT_JSON, WRONG_TYPE = "not an object", "wrong type"
 
 
-def _parsed(value: str) -> Column:
+def parse_payloads(raw: DataFrame, at: Column | None = None, value: str = "value") -> DataFrame:
+    """The payloads with all their columns, the `reading` each makes, and the `reason` why it makes none.
+
+    A missing key at any depth gives null. A payload that is no JSON object or has a field of a wrong type is
+    rejected. Every text is parsed once: what a generator makes cannot be copied into the filters and projections above it.
+    """
     layout = StructType([*READING_PAYLOAD.fields, StructField(CORRUPT, StringType())])
-    return F.from_json(F.col(value).cast("string"), layout, {"columnNameOfCorruptRecord": CORRUPT})
+    text = F.col(value).cast("string")
+    parsed = F.from_json(text, layout, {"columnNameOfCorruptRecord": CORRUPT})
+    paths = {
+        "id": "id",
+        "city": "name",
+        "country": "sys.country",
+        "temperature": "main.temp",
+        "pressure": "main.pressure",
+        "humidity": "main.humidity",
+        "visibility": "visibility",
+        "wind_speed": "wind.speed",
+        "dt": "dt",
+    }
+    sky = F.get(f"{PARSED}.weather", F.lit(0))
+    columns = {name: F.col(f"{PARSED}.{path}") for name, path in paths.items()}
+    columns["weather_main"] = sky["main"]
+    columns["weather_description"] = sky["description"]
+    columns["ingested_at"] = ingested_at(at)
+    reading = F.struct(*[columns[name].alias(name) for name in READING.fieldNames()])
+    bad = F.col(PARSED).isNull() | F.col(f"{PARSED}.{CORRUPT}").isNotNull()
+    reason = F.when(bad, F.when(is_object(text), WRONG_TYPE).otherwise(NOT_JSON))
+    made = raw.select("*", F.explode(F.array(parsed)).alias(PARSED))
+    return made.select(*raw.columns, reading.alias("reading"), reason.alias("reason"))
 
 
-def is_rejected(value: str = "value") -> Column:
-    """Whether a payload is no JSON object or has a field of a wrong type."""
-    parsed = _parsed(value)
-    return parsed.isNull() | parsed[CORRUPT].isNotNull()
+def is_object(text: Column) -> Column:
+    return F.coalesce(F.json_object_keys(text).isNotNull(), F.lit(False))
+
+
+def count_outcomes(parsed: DataFrame) -> dict:
+    """How many parsed payloads, or elements of polls, there are, and how many of them were rejected."""
+    return parsed.agg(F.count("*").alias("n"), F.count("reason").alias("n_rejected")).first().asDict()
 
 
 def payload_rejects(raw: DataFrame, value: str = "value") -> DataFrame:
     """The payloads that make no reading, with all their columns and a `reason`."""
-    text = F.col(value).cast("string")
-    is_object = F.coalesce(F.json_object_keys(text).isNotNull(), F.lit(False))
-    reason = F.when(is_object, WRONG_TYPE).otherwise(NOT_JSON)
-    return raw.filter(is_rejected(value)).withColumn("reason", reason)
+    return parse_payloads(raw, value=value).filter("reason IS NOT NULL").drop("reading")
 
 
 def flatten_payloads(raw: DataFrame, at: Column | None = None, value: str = "value") -> DataFrame:
@@ -49,24 +76,7 @@ def flatten_payloads(raw: DataFrame, at: Column | None = None, value: str = "val
 
     Rejected payloads make no reading: `payload_rejects` returns them.
     """
-    paths = {
-        "id": "j.id",
-        "city": "j.name",
-        "country": "j.sys.country",
-        "temperature": "j.main.temp",
-        "pressure": "j.main.pressure",
-        "humidity": "j.main.humidity",
-        "visibility": "j.visibility",
-        "wind_speed": "j.wind.speed",
-        "dt": "j.dt",
-    }
-    sky = F.get("j.weather", F.lit(0))
-    columns = {name: F.col(path) for name, path in paths.items()}
-    columns["weather_main"] = sky["main"]
-    columns["weather_description"] = sky["description"]
-    columns["ingested_at"] = ingested_at(at)
-    parsed = raw.select(_parsed(value).alias("j")).filter(f"j IS NOT NULL AND j.{CORRUPT} IS NULL")
-    return parsed.select([columns[name].alias(name) for name in READING.fieldNames()])
+    return parse_payloads(raw, at, value).filter("reason IS NULL").select("reading.*")
 
 
 def with_event_time(readings: DataFrame) -> DataFrame:

@@ -178,3 +178,9 @@ def suppress_repeats(
         .select(rows.columns)
     )
     return chosen.unionByName(rows.filter(F.col(time).isNull()))
+
+
+def last_emissions(kept: DataFrame, keys: tuple[str, ...] = KEYS, time: str = "alert_time") -> DataFrame:
+    """The keys of emitted rows and `at`, the time of each one's last emission in microseconds: what a later run must know of them."""
+    timed = kept.filter(F.col(time).isNotNull())
+    return timed.groupBy(*keys).agg(F.max(F.unix_micros(F.col(time).cast("timestamp"))).alias("at"))

@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gustline.operators.quality import READING_KEYS, ValidationError, validate
-from gustline.operators.readings import flatten_payloads, is_rejected
+from gustline.operators.readings import count_outcomes, parse_payloads
 from gustline.schemas import RAW_TABLES
-from gustline.sources import landing, tables
+from gustline.sources import tables, versions
+from gustline.sources.shared import write_stage
 
 # Folder of each raw table.
 FOLDERS = {"weather_data": "weather", "financial_data": "stock"}
+# The log of loads, beside the tables' folders.
+LOADS = "loads"
 
 
 def raw_readings(readings: DataFrame) -> DataFrame:
@@ -22,6 +25,26 @@ def raw_readings(readings: DataFrame) -> DataFrame:
     )
 
 
+def land_sets(
+    spark: SparkSession, sets: dict[str, DataFrame], date: str, out_dir: str, database: str = tables.RAW_DATABASE
+) -> None:
+    """Replace one ISO date of the raw tables, named by their folders, all together or not at all.
+
+    Every set is written to a new folder first. Only when all are there does one commit make them the
+    day's versions, and the catalog's partitions move to them. A load that fails before leaves the old day as it was;
+    its folders are garbage for `versions.remove_old`. What was committed by a load that broke off before the
+    catalog followed comes in with the next load of the date, or with `versions.follow`.
+    """
+    tables.create_raw_database(spark, f"{out_dir}/{database}", database)
+    for name, folder in FOLDERS.items():
+        tables.create_raw_table(spark, name, f"{out_dir}/{folder}", database)
+    written = {
+        name: versions.write_day(sets[folder], f"{out_dir}/{folder}", date) for name, folder in FOLDERS.items() if folder in sets
+    }
+    versions.commit(spark, f"{out_dir}/{LOADS}", date, written)
+    versions.follow(spark, f"{out_dir}/{LOADS}", database, date)
+
+
 def run_batch(
     spark: SparkSession,
     raw_dir: str,
@@ -40,22 +63,18 @@ def run_batch(
     without rows. Nothing is landed unless all sets pass.
     """
     raw = spark.read.text(f"{raw_dir}/weather/{date}*")
-    readings = flatten_payloads(raw, at=None if at is None else F.lit(at))
-    counted = raw.agg(F.count("*").alias("n"), F.count_if(is_rejected()).alias("rejected")).first()
-    if most_rejects is not None and counted.rejected > most_rejects:
-        raise ValidationError(f"{counted.rejected} of {counted.n} payloads of {date} make no reading")
+    parsed = write_stage(parse_payloads(raw, at=None if at is None else F.lit(at)), "readings")
+    counted = count_outcomes(parsed)
+    if most_rejects is not None and counted["n_rejected"] > most_rejects:
+        raise ValidationError(f"{counted['n_rejected']} of {counted['n']} payloads of {date} make no reading")
+    readings = parsed.filter("reason IS NULL").select("reading.*")
     records = readings.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
-    results = {"weather": {**validate(records, "weather", READING_KEYS), "rejected": counted.rejected}}
+    results = {"weather": {**validate(records, "weather", READING_KEYS), "rejected": counted["n_rejected"]}}
     sets = {"weather": raw_readings(readings)}
     if stock:
         sets["stock"] = spark.read.schema(RAW_TABLES["financial_data"]).json(f"{raw_dir}/stock/{date}*")
         values = sets["stock"].select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
         results["stock"] = validate(values, "stock", [f.name for f in RAW_TABLES["financial_data"]])
 
-    tables.create_raw_database(spark, f"{out_dir}/{database}", database)
-    for name, folder in FOLDERS.items():
-        table = tables.create_raw_table(spark, name, f"{out_dir}/{folder}", database)
-        if folder in sets:
-            landing.land_day(sets[folder], f"{out_dir}/{folder}", date)
-            tables.add_day(spark, table, date)
+    land_sets(spark, sets, date, out_dir, database)
     return results

@@ -88,6 +88,21 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def match_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as polls: two legs of one match, or none for an urgent order."""
+    return _polls(spark, sf_dir).select("value")
+
+
+def spoiled_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polls with their number, every seventeenth cut off, every thirteenth with a word for its first id, and every
+    eleventh, if it has matches, with a number behind them."""
+    cut = F.expr("substring(value, 1, length(value) - 5)")
+    worded = F.regexp_replace("value", r'^\{"matches":\[\{"id":\d+', '{"matches":[{"id":"none"')
+    more = F.regexp_replace("value", r"\}\]\}$", "},5]}")
+    by = F.col("poll")
+    spoiled = F.when(by % 17 == 0, cut).when(by % 13 == 0, worded).when(by % 11 == 0, more).otherwise(F.col("value"))
+    return _polls(spark, sf_dir).select("poll", spoiled.alias("value"))
+
+
+def _polls(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     status = F.when(F.col("o_orderstatus") == "F", "FINISHED").when(
         F.col("o_orderstatus") == "O", "TIMED"
@@ -113,7 +128,7 @@ def match_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     legs = F.array(leg(0), leg(1))
     matches = F.when(F.col("o_orderpriority") == "1-URGENT", F.filter(legs, lambda _: F.lit(False)))
-    return o.select(F.to_json(F.struct(matches.otherwise(legs).alias("matches"))).alias("value"))
+    return o.select(F.col("o_orderkey").alias("poll"), F.to_json(F.struct(matches.otherwise(legs).alias("matches"))).alias("value"))
 
 
 def comparable(frame: DataFrame) -> DataFrame:

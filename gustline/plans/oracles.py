@@ -233,6 +233,13 @@ _rounded_changes = "SELECT * REPLACE (round(max_temp, 6) AS max_temp, round(min_
 _rounded_flags = "SELECT * REPLACE (round(temperature, 6) AS temperature)"
 _late = "visibility > 2000 AND event_timestamp < TIMESTAMP '2024-01-20 00:00:00'"
 
+_raw_rows = """
+SELECT city, country, weather_main, weather_description, round(temperature, 6) AS temperature,
+       CAST(pressure AS INTEGER) AS pressure, CAST(humidity AS INTEGER) AS humidity,
+       CAST(visibility AS INTEGER) AS visibility, wind_speed,
+       strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS record_timestamp,
+       strftime(event_timestamp, '%Y') AS year, strftime(event_timestamp, '%m') AS month, strftime(event_timestamp, '%d') AS day"""
+
 ORACLES = {
     "change_alerts": _with(READINGS, CHANGES) + f"{_rounded_changes} FROM changes",
     "threshold_alerts": _with(READINGS, THRESHOLDS) + f"{_rounded_flags} FROM thresholds",
@@ -372,13 +379,8 @@ SELECT strftime(event_timestamp, '%Y') AS year, strftime(event_timestamp, '%m')
          AS city,
        count(*) AS n_rows, round(max(temperature), 6) AS max_temp
 FROM r GROUP BY 1, 2, 3, 4""",
-    "raw_table_scan": _with(READINGS) + """
-SELECT city, country, weather_main, weather_description, round(temperature, 6) AS temperature,
-       CAST(pressure AS INTEGER) AS pressure, CAST(humidity AS INTEGER) AS humidity,
-       CAST(visibility AS INTEGER) AS visibility, wind_speed,
-       strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS record_timestamp,
-       strftime(event_timestamp, '%d') AS day
-FROM r WHERE strftime(event_timestamp, '%Y-%m-%d') = '2024-01-17'""",
+    "raw_table_scan": _with(READINGS) + f"{_raw_rows} FROM r",
+    "raw_table_day": _with(READINGS) + f"{_raw_rows} FROM r WHERE strftime(event_timestamp, '%Y-%m-%d') = '2024-01-17'",
     "partition_inventory": _with(READINGS) + """
 SELECT strftime(event_timestamp, '%Y') AS year, strftime(event_timestamp, '%m') AS month,
        strftime(event_timestamp, '%d') AS day, count(*) AS n_rows, true AS files_agree, true AS bytes_agree

@@ -432,10 +432,14 @@ def _table_over(spark: SparkSession, root: str, kind: str) -> str:
 
 
 def raw_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One day of the table: the other days' folders are not read."""
     table = _table_over(spark, _landed(spark, sf_dir, "rawtable"), "weather_data")
-    scanned = spark.table(table).filter("year = '2024' AND month = '01' AND day = '17'")
-    return comparable(scanned.drop("year", "month"))
+    return comparable(spark.table(table))
+
+
+def raw_table_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day of the table: the other days' folders are not read."""
+    table = _table_over(spark, _landed(spark, sf_dir, "rawday"), "weather_data")
+    return comparable(spark.table(table).filter("year = '2024' AND month = '01' AND day = '17'"))
 
 
 def financial_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -534,6 +538,7 @@ QUERIES = {
     "financial_table_scan": financial_table_scan,
     "landing_partitions": landing_partitions,
     "raw_table_scan": raw_table_scan,
+    "raw_table_day": raw_table_day,
     "partition_inventory": partition_inventory,
     "frame_strip": frame_strip,
     "keyed_publish": keyed_publish,

@@ -91,6 +91,9 @@ ALERT = record(
     min_visibility=LONG, min_visibility_time=TIME, visibility_change_anomaly=TEXT,
 )
 
+# A line of the log of loads: which folder holds a table's day since when, in microseconds.
+LOAD = record(load=TEXT, at=LONG, date=TEXT, table=TEXT, location=TEXT)
+
 # Raw tables; the partition columns follow the folder layout of sources.landing.
 RAW_TABLES = {
     "weather_data": record(

@@ -9,9 +9,15 @@ RAW_DATABASE = "bronze_db"
 RAW_COMMENT = "Records as they came, by day"
 
 
+def literal(text: str) -> str:
+    """The text as a SQL string, whatever characters it holds."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def create_raw_database(spark: SparkSession, location: str, database: str = RAW_DATABASE) -> None:
     spark.sql(
-        f"CREATE DATABASE IF NOT EXISTS {database} COMMENT '{RAW_COMMENT}' LOCATION '{location}'"
+        f"CREATE DATABASE IF NOT EXISTS IDENTIFIER(:name) COMMENT {literal(RAW_COMMENT)} LOCATION {literal(location)}",
+        args={"name": f"`{database}`"},
     )
 
 
@@ -20,11 +26,12 @@ def create_raw_table(
 ) -> str:
     """An external JSON table over the day folders; returns its full name."""
     fields = RAW_TABLES[like or name]
-    columns = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in fields)
+    columns = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in fields)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {database}.{name} "
+        f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) "
         f"({columns}, year STRING, month STRING, day STRING) "
-        f"USING json PARTITIONED BY (year, month, day) LOCATION '{location}'"
+        f"USING json PARTITIONED BY (year, month, day) LOCATION {literal(location)}",
+        args={"name": f"`{database}`.`{name}`"},
     )
     return f"{database}.{name}"
 

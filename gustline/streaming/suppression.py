@@ -17,6 +17,9 @@ CLOCKS = ("event", "processing")
 # Microseconds since the epoch, made by Spark: pandas has times as clocks of the session's zone show them.
 # (Names with a leading underscore do not reach the state processor.)
 AT = "suppression_at"
+# The same time for the watermark, which wants a timestamp.
+MARK = "suppression_time"
+OWN = [AT, MARK]
 
 
 def first_per_time(rows: pd.DataFrame, keys: list[str], order: list[str]) -> pd.DataFrame:
@@ -28,14 +31,30 @@ def first_per_time(rows: pd.DataFrame, keys: list[str], order: list[str]) -> pd.
 class _Repeats(StatefulProcessor):
     """Keeps one number per key: the time of its last emission in microseconds."""
 
-    def __init__(self, order: list[str], retention_seconds: int, clock: str):
+    def __init__(self, order: list[str], retention_seconds: int, clock: str, expires: bool):
         self.order = order
-        self.retention_seconds, self.clock = retention_seconds, clock
+        self.retention_seconds, self.clock, self.expires = retention_seconds, clock, expires
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         ttl = self.retention_seconds * 1000 if self.clock == "processing" else None
+        self.handle = handle
         self.last = handle.getValueState("last", StructType().add("at", LongType()), ttl)
 
+    def _emitted(self, at: int) -> None:
+        self.last.update((at,))
+        if self.expires:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            # The first millisecond at which the key is free again.
+            self.handle.registerTimer(-(-(at + self.retention_seconds * SECOND) // 1000))
+
+    def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:
+        self._emitted(int(initialState["at"].max()))
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        return iter([])
+
     def handleInputRows(
         self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any
     ) -> Iterator[pd.DataFrame]:
@@ -45,7 +64,7 @@ class _Repeats(StatefulProcessor):
             for batch in rows:
                 if free and len(batch):
                     self.last.update((timerValues.getCurrentProcessingTimeInMs(),))
-                    yield batch.head(1).drop(columns=AT)
+                    yield batch.head(1).drop(columns=OWN)
                     free = False
             return
         # What is held grows with the distinct times of the trigger, not with its rows.
@@ -53,7 +72,7 @@ class _Repeats(StatefulProcessor):
         for batch in rows:
             untimed = batch[batch[AT].isna()]
             if len(untimed):
-                yield untimed.drop(columns=AT)
+                yield untimed.drop(columns=OWN)
             waiting.append(batch)
             n_waiting += len(batch)
             if n_waiting >= len(held):
@@ -66,8 +85,8 @@ class _Repeats(StatefulProcessor):
         free_from = self.last.get()[0] + retention if self.last.exists() else NEVER
         kept = replay(times, free_from, retention)
         if len(kept):
-            self.last.update((int(kept[-1]),))
-            yield held.iloc[times.searchsorted(kept, side="left")].drop(columns=AT)
+            self._emitted(int(kept[-1]))
+            yield held.iloc[times.searchsorted(kept, side="left")].drop(columns=OWN)
 
     def _compact(self, held: pd.DataFrame, waiting: list[pd.DataFrame]) -> pd.DataFrame:
         if not waiting:
@@ -86,16 +105,27 @@ def suppress_repeats_stream(
     order: tuple[str, ...] = ORDER,
     retention_seconds: int = RETENTION_SECONDS,
     clock: str = "event",
+    late: str | None = None,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """The streaming form of `operators.suppression.suppress_repeats`.
 
     With the event clock it decides by `time`, so input in time order gives the batch result.
-    Nothing is dropped as late: a row that arrives behind the last emission of its key is a
-    repeat. Rows without a time are all emitted. State is one number per key, for as long as the
-    checkpoint lives. With the processing clock the first row of a key is emitted and its state
+    A row that arrives behind the last emission of its key is a repeat. Rows without a time are all emitted. State is
+    one number per key.
+
+    Without `late` nothing is dropped as late, and a key's state stays as long as the checkpoint lives. With `late`, a
+    duration such as "10 minutes", Spark drops rows that come so far behind the latest time seen, and a key's state ends
+    by a timer when the watermark has passed its last emission by the retention time: no row that may still
+    come would be its repeat. What is held then is the keys that were emitted lately.
+
+    With the processing clock the first row of a key is emitted and its state
     lives for the retention time; such a query keeps running empty batches to watch the clock, so
     it does not end by itself when the data available now is read.
 
+    `history` hands over from a batch run: the keys and `at`, from `operators.suppression.last_emissions`, with which the
+    state of a new checkpoint begins. Give it again at every start; Spark uses it at the first one only.
+
     Before the shuffle each Arrow batch is reduced to one row per key and time (or per key, with
     the processing clock), so a key that holds most rows does not send them all to one task. A task
     holds the distinct times of a key in one trigger; the limits of `read_topic` bound that.
@@ -103,6 +133,8 @@ def suppress_repeats_stream(
     """
     if clock not in CLOCKS:
         raise ValueError(f"clock must be one of {CLOCKS}")
+    if clock == "processing" and (late or history is not None):
+        raise ValueError("late rows and history go with the event clock")
     names, ranked = list(keys), list(order)
 
     def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -113,10 +145,14 @@ def suppress_repeats_stream(
                 yield first_per_time(batch, names, ranked)
                 yield batch[batch[AT].isna()]
 
-    stamped = rows.withColumn(AT, F.unix_micros(F.col(time).cast("timestamp")))
-    return stamped.mapInPandas(combine, stamped.schema).groupBy(*keys).transformWithStateInPandas(
-        _Repeats(ranked, retention_seconds, clock),
+    instant = F.col(time).cast("timestamp")
+    stamped = rows.withColumns({AT: F.unix_micros(instant), MARK: instant})
+    combined = stamped.mapInPandas(combine, stamped.schema)
+    combined = combined.withWatermark(MARK, late) if late else combined
+    return combined.groupBy(*keys).transformWithStateInPandas(
+        _Repeats(ranked, retention_seconds, clock, late is not None),
         outputStructType=rows.schema,
         outputMode="append",
-        timeMode="none" if clock == "event" else "processingTime",
+        timeMode="processingTime" if clock == "processing" else "eventTime" if late else "none",
+        initialState=None if history is None else history.groupBy(*keys),
     )

@@ -6,8 +6,8 @@ from uuid import uuid4
 import pytest
 
 from gustline.operators.quality import ValidationError
-from gustline.plans.daily import run_batch
-from gustline.sources import landing, tables
+from gustline.plans.daily import LOADS, land_sets, run_batch
+from gustline.sources import landing, tables, versions
 
 
 def raw(spark, rows, layout="city STRING, temperature DOUBLE, date STRING"):
@@ -88,3 +88,50 @@ def test_daily_batch_without_records_fails(spark, folder):
     write_lines(spark, f"{folder}/weather", "2024-03-01.json", [])
     with pytest.raises(ValidationError, match="Zero Count"):
         run_batch(spark, folder, "2024-03-01", f"{folder}/out", f"bronze_{uuid4().hex}")
+
+
+def weather(spark, *cities):
+    return spark.createDataFrame([(c, 1.0) for c in cities], "city STRING, temperature DOUBLE")
+
+
+def stock(spark, *symbols):
+    return spark.createDataFrame([(s,) for s in symbols], "symbol STRING")
+
+
+def names(spark, database):
+    return [sorted(r[0] for r in spark.table(f"{database}.{t}").select(c).collect()) for t, c in (("weather_data", "city"), ("financial_data", "symbol"))]
+
+
+def test_a_broken_reload_leaves_the_day_and_a_whole_one_replaces_both_tables(spark, folder):
+    database, out = f"bronze_{uuid4().hex}", f"{folder}/o'ut"
+    land_sets(spark, {"weather": weather(spark, "a"), "stock": stock(spark, "s")}, "2024-03-01", out, database)
+    land_sets(spark, {"weather": weather(spark, "b")}, "2024-03-02", out, database)
+    broken = stock(spark, "t").selectExpr("raise_error(symbol) AS symbol")
+    with pytest.raises(Exception, match="t"):
+        land_sets(spark, {"weather": weather(spark, "x"), "stock": broken}, "2024-03-01", out, database)
+    assert names(spark, database) == [["a", "b"], ["s"]]
+    land_sets(spark, {"weather": weather(spark, "c"), "stock": stock(spark, "u")}, "2024-03-01", out, database)
+    assert names(spark, database) == [["b", "c"], ["u"]]
+    # Of the first day's three versions of the weather two are garbage now.
+    assert versions.remove_old(spark, f"{out}/{LOADS}", f"{out}/weather", "2024-03-01") == []
+    assert len(versions.remove_old(spark, f"{out}/{LOADS}", f"{out}/weather", "2024-03-01", older_than_seconds=-60)) == 2
+    assert versions.remove_old(spark, f"{out}/{LOADS}", f"{out}/weather", "1999-01-01") == []
+    assert names(spark, database) == [["b", "c"], ["u"]]
+
+
+def test_a_new_catalog_follows_the_log_of_loads(spark, folder):
+    database, again = f"bronze_{uuid4().hex}", f"bronze_{uuid4().hex}"
+    for city in "ab":
+        land_sets(spark, {"weather": weather(spark, city), "stock": stock(spark, city)}, "2024-03-01", folder, database)
+    land_sets(spark, {"weather": weather(spark, "c")}, "2024-03-02", folder, database)
+    # A commit whose load broke off before the catalog followed.
+    location = versions.write_day(weather(spark, "d"), f"{folder}/weather", "2024-03-02")
+    versions.commit(spark, f"{folder}/{LOADS}", "2024-03-02", {"weather_data": location})
+    assert names(spark, database) == [["b", "c"], ["b"]]
+    assert versions.follow(spark, f"{folder}/{LOADS}", database) == 3
+    tables.create_raw_database(spark, f"{folder}/{again}", again)
+    for table, root in (("weather_data", "weather"), ("financial_data", "stock")):
+        tables.create_raw_table(spark, table, f"{folder}/{root}", again)
+    versions.follow(spark, f"{folder}/{LOADS}", again)
+    assert names(spark, database) == names(spark, again) == [["b", "d"], ["b"]]
+    assert versions.loads(spark, f"{folder}/{LOADS}").count() == 6

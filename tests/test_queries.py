@@ -5,8 +5,10 @@ from compare import differences, second_engine
 from conftest import SMALL
 
 from __spark_entry__ import entry, oracle_sql, queries
-from gustline.plans.oracles import ORACLES
-from gustline.plans.queries import QUERIES
+from gustline.plans import oracles, queries as plans, reliability, reliability_oracles
+
+QUERIES = {**plans.QUERIES, **reliability.QUERIES}
+ORACLES = {**oracles.ORACLES, **reliability_oracles.ORACLES}
 
 
 @pytest.fixture(scope="module")

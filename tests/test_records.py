@@ -104,6 +104,33 @@ def test_matches_unpack_and_route(spark):
     assert m.count_matches(rows).first().asDict() == dict(total=3, live=2, finished=1)
 
 
+POLLS = [
+    json.dumps({"matches": [match(1, "FINISHED")]}), '{"matches":[{"id":2},{"id":', "no json",
+    json.dumps({"matches": [match(3), match("x"), 5, None, match(4)]}), "{}", '{"matches":null}', '{"matches":5}', "[1]", "", '{"matches":[null]}',
+]
+
+
+@pytest.mark.parametrize("with_texts", [False, True])
+def test_rejected_matches_stay_beside_the_good_ones(spark, with_texts):
+    raw = spark.createDataFrame([*enumerate(POLLS), (99, None)], "text_no INT, value STRING")
+    found = sorted((r.text_no, r.position, r.match and r.match.id, r.reason) for r in m.parse_polls(raw, with_texts=with_texts).collect())
+    broken, typed = "not an object", "wrong type"
+    assert found == [
+        (0, 0, 1, None), (1, -1, None, broken), (2, -1, None, broken), (3, 0, 3, None), (3, 1, None, typed), (3, 2, None, broken),
+        (3, 3, None, broken), (3, 4, 4, None), (6, -1, None, typed), (7, -1, None, broken), (8, -1, None, broken), (9, 0, None, broken), (99, -1, None, broken)]
+    assert sorted(r.id for r in m.unpack_matches(raw).collect()) == [1, 3, 4]
+    rejects = m.match_rejects(raw)
+    assert rejects.columns == ["text_no", "value", "position", "text", "reason"]
+    assert {r.text for r in rejects.filter("text_no = 3").collect()} == {json.dumps(match("x"), separators=(",", ":")), "5", None}
+    assert m.match_texts(raw).count() == 7
+
+
+def test_every_text_is_parsed_once(spark):
+    raw = texts(spark, [PAYLOAD])
+    for made in (flatten_payloads(raw), payload_rejects(raw), with_event_time(flatten_payloads(raw)).filter("dt > 5")):
+        assert made._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
 def test_match_days_are_inclusive(spark):
     days = ["2024-01-30", "2024-01-31", "2024-02-29", "2024-03-01", "2024-03-02", "2024-03-03"]
     poll = {"matches": [match(i, "FINISHED", d) for i, d in enumerate(days)] + [match(9, "TIMED", days[3])]}

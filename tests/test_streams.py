@@ -10,7 +10,7 @@ from rows import DAY, LAYOUT, reading, readings
 
 from gustline.operators.alerts import explode_anomalies, unite
 from gustline.operators.changes import change_alerts
-from gustline.operators.suppression import suppress_repeats
+from gustline.operators.suppression import last_emissions, suppress_repeats
 from gustline.operators.thresholds import threshold_alerts
 from gustline.operators.windows import EVENT_TIME, WATERMARK, WINDOW_MINUTES, window_stats
 from gustline.plans import given
@@ -19,8 +19,9 @@ from gustline.operators.quality import ValidationError
 from gustline.sources.envelopes import TRIGGER_LIMITS, decode_alerts, read_topic
 from gustline.sources.shared import CHECKPOINT_SETTING, shared_folder
 from gustline.sources.sinks import write_alerts, write_console, write_rows
+from gustline.streaming.audit import held_emissions
 from gustline.streaming.delivery import start_notifications
-from gustline.streaming.feeds import publish_matches, publish_readings, start_feed
+from gustline.streaming.feeds import publish_history, publish_matches, publish_readings, start_feed
 from gustline.streaming.jobs import SHUFFLES, delivered, drain, start_detectors, state_settings
 from gustline.streaming.suppression import AT, first_per_time, suppress_repeats_stream
 
@@ -125,6 +126,54 @@ def test_rows_without_time_pass_the_state(spark, folder):
     assert sorted(r.id for r in out.collect()) == [5, 6]
 
 
+def user_rows(spark, rows):
+    """Rows of (user, minute, id)."""
+    made = [(f"u{u}", None if minute is None else DAY + timedelta(minutes=minute), i) for u, minute, i in rows]
+    return spark.createDataFrame(made, "user STRING, at TIMESTAMP, id BIGINT")
+
+
+def test_expiring_state_holds_the_live_keys_only(spark, folder):
+    """Twenty users an hour, none of whom comes back later than that; each is seen twice within the retention time."""
+    every = [(100 * hour + u, 60 * hour + u + more, 1000 * hour + 10 * u + more) for hour in range(6) for u in range(20) for more in (0, 5)]
+    keys, order = ("user",), ("id",)
+    for hour in range(6):
+        rows = user_rows(spark, [r for r in every if r[1] // 60 == hour] + [(7, None, -1 - hour)])
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/feed")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/feed")
+        out, query = run(spark, folder, suppress_repeats_stream(stream, keys, "at", order, late="5 minutes"))
+        held = held_emissions(spark, f"{folder}/checkpoint", "at").collect()
+        # The watermark stands five minutes behind the last row; who was emitted 30 minutes before that is free.
+        mark = 60 * hour + 24 - 5
+        assert {r.user for r in held} == {f"u{u}" for u, minute, _ in every if minute + 30 > mark and minute // 60 <= hour}
+    kept = sorted((r.user, r.id) for r in out.filter("at IS NOT NULL").collect())
+    batch = suppress_repeats(user_rows(spark, every), keys, "at", order)
+    assert kept == sorted((r.user, r.id) for r in batch.collect()) and len(kept) == 120
+    assert sorted(r.id for r in out.filter("at IS NULL").collect()) == [-6, -5, -4, -3, -2, -1]
+
+
+def test_rows_behind_the_watermark_are_dropped_where_state_expires(spark, folder):
+    for rows in [[(1, 0, 1), (2, 300, 2)], [(1, 10, 3), (1, 290, 4), (1, 299, 5)]]:
+        user_rows(spark, rows).coalesce(1).write.mode("append").parquet(f"{folder}/feed")
+        stream = spark.readStream.schema("user STRING, at TIMESTAMP, id BIGINT").parquet(f"{folder}/feed")
+        out, _ = run(spark, folder, suppress_repeats_stream(stream, ("user",), "at", ("id",), late="15 minutes"))
+    assert sorted(r.id for r in out.collect()) == [1, 2, 4]
+
+
+@pytest.mark.parametrize("late", [None, "1 hour"])
+def test_a_stream_goes_on_where_a_batch_ended(spark, folder, late):
+    past, new = [(1, 0, 1), (1, 31, 2), (2, 40, 3), (3, None, 4)], [(1, 60, 5), (1, 61, 6), (2, 69, 7), (4, 50, 8), (2, 70, 9)]
+    kept = suppress_repeats(user_rows(spark, past), ("user",), "at", ("id",))
+    history = last_emissions(kept, ("user",), "at")
+    assert sorted(r.user for r in history.collect()) == ["u1", "u2"]
+    emitted = []
+    for rows in (new[:2], new[2:]):
+        user_rows(spark, rows).coalesce(1).write.mode("append").parquet(f"{folder}/feed")
+        stream = spark.readStream.schema("user STRING, at TIMESTAMP, id BIGINT").parquet(f"{folder}/feed")
+        out, _ = run(spark, folder, suppress_repeats_stream(stream, ("user",), "at", ("id",), late=late, history=history))
+        emitted.append(sorted(r.id for r in out.collect()))
+    assert emitted == [[6], [6, 8, 9]]
+
+
 def test_held_rows_are_one_per_time():
     rows = pd.DataFrame({AT: [1500, 900, 100, 900, None], "k": ["a", "a", "b", "a", "a"], "o": [1, 4, 3, 2, 5]})
     assert first_per_time(rows, ["k"], ["o"]).o.tolist() == [3, 2, 1]
@@ -189,6 +238,23 @@ def test_match_feed_routes_and_checks(spark, folder):
     assert spark.read.parquet(f"{folder}/topics").count() == 3
 
 
+def test_junk_matches_are_counted_and_set_aside(spark, folder):
+    good, live = dict(id=1, status="FINISHED"), dict(id=2, status="TIMED")
+    lines = [match_poll(good, live), match_poll(dict(id="x")), '{"matches":[{"id":9', "no json"]
+    raw = spark.createDataFrame([(line,) for line in lines], "value STRING")
+    for publisher in (publish_matches, lambda raw, **more: publish_history(raw, DAY.date(), **more)):
+        with pytest.raises(ValidationError, match="3 of"):
+            publisher(raw, kind="files", folder=f"{folder}/topics", most_rejects=2)
+    counted = publish_matches(raw, kind="files", folder=f"{folder}/topics", rejects=f"{folder}/rejects", most_rejects=3)
+    assert counted == {"n": 5, "n_rejected": 3}
+    assert sorted(bytes(r.key) for r in spark.read.parquet(f"{folder}/topics").collect()) == [b"1", b"2"]
+    reasons = spark.read.json(f"{folder}/rejects").groupBy("reason").count().collect()
+    assert sorted(map(tuple, reasons)) == [("not an object", 2), ("wrong type", 1)]
+    counted = publish_history(raw, DAY.date(), kind="files", folder=f"{folder}/history", rejects=f"{folder}/more-rejects")
+    assert counted == {"n": 1, "n_rejected": 3} and spark.read.json(f"{folder}/more-rejects").count() == 3
+    assert [bytes(r.key) for r in spark.read.parquet(f"{folder}/history").collect()] == [b"1"]
+
+
 def test_notifications_are_gathered_by_alert(spark, folder):
     arrivals = [
         [reading(id=1, minute=0, temperature=40.0, wind_speed=12.0)],
