@@ -41,12 +41,12 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 #: Longs of a map of bits, and so most rows of it.
-MAP_SLOTS = 2**16
+MAP_SLOTS = 2**18
 
 
 def marked(frame: DataFrame, used: DataFrame, *keys: str) -> DataFrame:
     """The rows whose keys may be among those of `used`: all that are, and few others while `used` is
-    small. The map of 4 million bits that tells is sent to all tasks; it has one size for every input."""
+    small. The map of 16 million bits that tells is sent to all tasks; it has one size for every input."""
     place = F.xxhash64(*keys)
     slot, bit = F.shiftright(place, 6).bitwiseAND(F.lit(MAP_SLOTS - 1)), place.bitwiseAND(F.lit(63)).cast("int")
     marks = used.select(slot.alias("__slot"), bit.alias("__bit")).distinct()
@@ -58,16 +58,17 @@ def marked(frame: DataFrame, used: DataFrame, *keys: str) -> DataFrame:
 def bucket_components(members: DataFrame, near: Column, check=None) -> DataFrame:
     """(id, component) of the members that some link ties to another member.
 
-    `members` has a row (key, id, bits) for each bucket a member is in. Two members are linked if
+    `members` has a row (key, id, bits) for each bucket a member is in; it may have it more than once. Two members are linked if
     they share a bucket, `near` holds for the bits `x` and `y`, and `check`, which filters pairs
     (a, b), lets the pair through. A bucket's pairs are not all looked at: first each member meets the least
     member of its bucket only, then those of one bucket meet that are not in one component
     yet. So a bucket of copies costs its size, and no link that changes a component is lost.
     """
     check = check or (lambda pairs: pairs)
-    # Most buckets hold one member. They are told by their keys alone, before whole rows are shuffled.
-    shared = write_stage(members.groupBy("key").count().where("count > 1").select("key"), "shared-keys")
-    members = write_stage(marked(members, shared, "key").join(shared, "key"), "members")
+    # Most buckets hold one member. They are told by keys and ids alone, before whole rows are shuffled.
+    shared = members.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
+    shared = write_stage(shared.select("key"), "shared-keys")
+    members = write_stage(marked(members, shared, "key").join(shared, "key").distinct(), "members")
     heads = members.groupBy("key").agg(F.min(F.struct("id", "bits")).alias("head"))
     met = members.join(heads, "key").select(
         F.col("id").alias("a"), F.col("head.id").alias("b"), F.col("bits").alias("x"), F.col("head.bits").alias("y")

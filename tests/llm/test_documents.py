@@ -3,8 +3,10 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -250,18 +252,6 @@ def test_lines_are_grouped(spark):
     assert left[1] == docs.where("doc_id = 1").first().text and left[2] == "\nown words here" and 6 not in left and left[5] == ""
 
 
-def simhash(words):
-    pairs = [fuzzy_hash(a, b) for a, b in zip(words, words[1:])]
-    return sum(1 << k for k in range(64) if 2 * sum(p >> k & 1 for p in pairs) > len(pairs))
-
-
-def fuzzy_hash(*words):
-    seed = 42
-    for w in words:
-        seed = xxhash.xxh64_intdigest(w.encode(), seed)
-    return seed
-
-
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -271,19 +261,50 @@ def distance(a, b):
     return row[-1]
 
 
+def least_hashes(words):
+    signed = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words]
+    return sorted({h - 2**64 if h >= 2**63 else h for h in signed})
+
+
+def majority(hashes):
+    return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
+
+
+def line_blocks(words):
+    """The blocks of a line as (kind, SimHash of their words)."""
+    w = least_hashes([x for x in words if words.count(x) > 1] if len(words) >= 2 * len(set(words)) and len(words) > 1 else words)
+    longer = least_hashes([x for x in words if len(x) >= 4])
+    n, blocks = len(w), set()
+    if n <= 8:
+        width = 1 if n == 1 else 2 if n <= 3 else 3
+        blocks |= {(-width, majority(c)) for c in combinations(w, width)}
+    if n >= 7 and (n <= 24 or len(longer) < 8):
+        blocks |= {(4, majority(w[k : k + 4])) for k in range(min(12, n - 3))}
+    if n >= 18 and len(longer) >= 8:
+        blocks |= {(3, majority(longer[k : k + 3])) for k in range(min(12, len(longer) - 2))}
+    marks = {h & 63 for h in w[:16]}
+    return blocks, marks
+
+
+def may_be_near(a, b, marks_a, marks_b):
+    return min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) and len(marks_a ^ marks_b) <= 0.45 * (len(marks_a) + len(marks_b))
+
+
 def test_line_groups_equal_brute_force(spark):
-    """All pairs of different lines by SimHash and edit distance, and the components they make."""
+    """All pairs of different lines by shared blocks and edit distance, and the components they make."""
     rnd = random.Random(5)
-    lines = [prose(rnd.randint(1, 90), 100 + i) for i in range(60)]
+    lines = [prose(rnd.randint(1, 90), 100 + i) for i in range(60)] + ["ab ab ab ab", "ab ab ab", "ab", "ab cd", "ab cd ef ab cd ef"]
     for i in range(0, 60, 2):
         words = lines[i].split()
         for _ in range(rnd.randint(1, 3)):
             words = [*words]
-            words[rnd.randrange(len(words))] = rnd.choice(VOCABULARY)
+            at = rnd.randrange(len(words))
+            words[at : at + rnd.randint(0, 1)] = [rnd.choice(VOCABULARY)] * rnd.randint(0, 2)
+            words = words or ["x"]
             lines.append(" ".join(words))
     docs = documents(spark, [(i, line, "") for i, line in enumerate(lines)])
     parts = [x.lower().split() for x in lines]
-    bits = [simhash(w) if len(w) >= fuzzy_lines.LEAST_WORDS else None for w in parts]
+    blocks = [line_blocks(w) for w in parts]
     root = list(range(len(lines)))
 
     def find(i):
@@ -293,12 +314,71 @@ def test_line_groups_equal_brute_force(spark):
 
     for i in range(len(lines)):
         for j in range(i):
-            near = bits[i] is not None and bits[j] is not None and (bits[i] ^ bits[j]).bit_count() <= fuzzy_lines.BITS
-            if parts[i] == parts[j] or near and distance(lines[i], lines[j]) <= 0.2 * max(len(lines[i]), len(lines[j])):
+            met = blocks[i][0] & blocks[j][0] and may_be_near(lines[i], lines[j], blocks[i][1], blocks[j][1])
+            if parts[i] == parts[j] or met and distance(lines[i], lines[j]) <= 0.2 * max(len(lines[i]), len(lines[j])):
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     expected = {i: find(i) for i in range(len(lines)) if find(i) != i}
-    assert {r.doc_id: r.kept_doc_id for r in fuzzy_lines.line_groups(docs).collect()} == expected and expected
+    assert {r.doc_id: r.kept_doc_id for r in fuzzy_lines.line_groups(docs).collect()} == expected and len(expected) > 40
+
+
+def test_edited_given_lines_meet_their_origin(spark, small):
+    """At each length nine of ten given lines that are edited and still similar by edit distance are linked, whatever their blocks."""
+    rnd = random.Random(12)
+    given_lines = sorted({w for r in small.select("text").collect() for x in r.text.split("\n") if (w := tuple(fuzzy_words(x)))})
+    words = sorted({w for line in given_lines for w in line})
+    pairs = []
+    for low, high in ((5, 7), (8, 12), (13, 24), (25, 60), (61, 150), (151, 2000)):
+        some = [line for line in given_lines if low <= len(line) <= high]
+        for k in range(60):
+            line = rnd.choice(some)
+            edited = [*line]
+            for _ in range(max(1, len(line) * (k % 3) // 20)):
+                edited[rnd.randrange(len(edited))] = rnd.choice(words)
+            if k % 4 == 3:
+                del edited[rnd.randrange(len(edited))]
+            pairs.append((low, " ".join(line), " ".join(edited)))
+    docs = documents(spark, [(2 * i + j, pair[1 + j], "") for i, pair in enumerate(pairs) for j in (0, 1)])
+    kept = {r.doc_id: r.kept_doc_id for r in fuzzy_lines.line_groups(docs).collect()}
+    for low in sorted({p[0] for p in pairs}):
+        similar = [i for i, (n, a, b) in enumerate(pairs) if n == low and a != b and near_by_words(a, b)]
+        linked = sum(kept.get(2 * i + 1, 2 * i + 1) == kept.get(2 * i, 2 * i) for i in similar)
+        print("lines of", low, "words on:", linked, "of", len(similar), "linked")
+        assert len(similar) >= 15 and linked >= 0.9 * len(similar)
+
+
+def fuzzy_words(line):
+    return re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", line.lower())
+
+
+def near_by_words(a, b):
+    """Whether two texts with the same words but a few are 0.8 or more similar; only the stretch that differs is compared."""
+    s, t, n = a.split(), b.split(), 0
+    while n < min(len(s), len(t)) and s[n] == t[n]:
+        n += 1
+    m = 0
+    while m < min(len(s), len(t)) - n and s[-1 - m] == t[-1 - m]:
+        m += 1
+    s, t = " ".join(s[n : len(s) - m]), " ".join(t[n : len(t) - m])
+    # Stretches of over 1,500 characters come from less than a tenth of the words and so are near.
+    return max(len(s), len(t)) > 1500 or distance(s, t) + 1 <= 0.2 * max(len(a), len(b))
+
+
+def test_distances_are_exact(spark):
+    rnd = random.Random(8)
+    rows = []
+    for k in range(120):
+        s = [rnd.choice(VOCABULARY[:30]) for _ in range(rnd.randint(1, 12))]
+        t = [*s]
+        for _ in range(rnd.randint(0, 4)):
+            at = rnd.randrange(len(t) + 1)
+            t[at : at + rnd.randint(0, 2)] = [rnd.choice(VOCABULARY[:30])] * rnd.randint(0, 2)
+        rows.append((s, t or ["x"], rnd.choice([3, 8, 100])))
+    frame = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "k int, s array<string>, t array<string>, most int")
+    for r in fuzzy_lines._distance(frame).collect():
+        s, t, most = rows[r.k]
+        exact = distance(" ".join(s), " ".join(t))
+        assert r.distance == (exact if exact <= most else -1), (s, t, exact)
 
 
 def test_most_similar_lines_are_linked(spark):
