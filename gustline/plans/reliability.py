@@ -1,18 +1,26 @@
 """Registered queries of what goes wrong: rejects, broken loads, restarts, repeats, and what is counted of them."""
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gustline.operators import matches as m
 from gustline.operators.alerts import explode_anomalies
+from gustline.operators.readings import flatten_payloads
 from gustline.operators.suppression import KEYS, last_emissions, suppress_repeats
+from gustline.operators.thresholds import threshold_alerts
+from gustline.operators.windows import EVENT_TIME
 from gustline.plans import given
 from gustline.plans.daily import land_sets, raw_readings
 from gustline.plans.given import comparable
 from gustline.plans.queries import ARRIVALS, STAMP, _alerts, _arrivals, _drained_topic
-from gustline.operators.readings import flatten_payloads
+from gustline.schemas import READING, READING_V2
+from gustline.sources.envelopes import alert_envelopes, decode_alerts, decode_versions, once, publish, read_topic
 from gustline.sources.shared import fresh_path, write_stage
-from gustline.sources.sinks import write_rows
+from gustline.sources.sinks import ALERT_TOPIC, write_rows
+from gustline.streaming.accounts import Accounts, accounts, counted
 from gustline.streaming.audit import held_emissions
 from gustline.streaming.jobs import drain, state_settings
 from gustline.streaming.suppression import suppress_repeats_stream
@@ -107,7 +115,87 @@ def state_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(held.join(written, list(KEYS), "full").select(*KEYS, "alert_time", "written"))
 
 
+def frame_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings framed by two schemas in one topic, of which the second lacks some fields, has one more and wider numbers;
+    some frames name a schema that is not known, some values have no frame, some are cut off."""
+    r = flatten_payloads(given.reading_payloads(spark, sf_dir), F.lit(STAMP))
+    by = F.col("id")
+    older = F.to_json(F.struct(*READING.fieldNames()))
+    newer = F.to_json(F.struct("id", "city", "country", F.col("temperature").cast("double").alias("temperature"), "humidity", "dt", "ingested_at", F.concat(F.lit("s"), by).alias("station")))
+    body = F.when(by % 2 == 0, older).otherwise(newer)
+    framed = r.withColumn("body", body).withColumn("body", F.when(by % 29 == 0, F.substring("body", 1, 20)).otherwise(F.col("body")).cast("binary"))
+    number = F.when(by % 19 == 0, 99).when(by % 2 == 0, 7).otherwise(8)
+    head = F.concat(F.when(by % 23 == 0, F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00"))), F.unhex(F.lpad(F.hex(number.cast("bigint")), 8, "0")))
+    topic = framed.select(by.cast("string").cast("binary").alias("key"), F.concat(head, F.col("body")).alias("value"))
+    decoded = decode_versions(topic, {7: READING, 8: READING_V2}, READING)
+    return comparable(decoded.select(
+        F.col("key").cast("string").cast("bigint").alias("id"), "schema_id", F.coalesce("reason", F.lit("")).alias("reason"), "record.city",
+        F.col("record.temperature").cast("double").alias("temperature"), "record.pressure", "record.humidity", "record.dt",
+    ))
+
+
+def alerts_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts sent in batches, of which one breaks off after it was sent and is sent again; a reader that takes each once."""
+    root, broken = fresh_path(spark, "once"), []
+    r = given.readings(spark, sf_dir)
+    for part in range(3):
+        threshold_alerts(r.filter(F.col("id") % 3 == part)).write.mode("append").parquet(f"{root}/alerts")
+    layout = spark.read.parquet(f"{root}/alerts").schema
+
+    def send(batch: DataFrame, number: int) -> None:
+        publish(alert_envelopes(batch, ALERT_TOPIC), kind="files", folder=f"{root}/topic")
+        if number == 1 and not broken:
+            broken.append(number)
+            raise RuntimeError("lost after sending")
+
+    for attempt in range(2):
+        stream = spark.readStream.schema(layout).option("maxFilesPerTrigger", 1).parquet(f"{root}/alerts")
+        query = stream.writeStream.option("checkpointLocation", f"{root}/sent").foreachBatch(send).trigger(availableNow=True).start()
+        try:
+            drain(query)
+        except StreamingQueryException:
+            if attempt:
+                raise
+    twice = write_stage(spark.read.parquet(f"{root}/topic"), "twice")
+    with state_settings(spark):
+        messages = once(read_topic(spark, ALERT_TOPIC, "files", folder=f"{root}/topic"))
+        drain(write_rows(decode_alerts(messages), f"{root}/read", f"{root}/rows", available_now=True))
+    # More messages were sent than there are alerts, or nothing was shown.
+    again = twice.agg((F.count("*") > F.countDistinct("value")).alias("sent_again"))
+    rows = spark.read.parquet(f"{root}/rows").select(
+        "event_timestamp", "id", "city", "country", "temperature", "pressure", "visibility", "wind_speed",
+        "temp_anomaly", "pressure_anomaly", "visibility_anomaly", "wind_anomaly")
+    return comparable(rows.crossJoin(again))
+
+
+def delivery_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream of six triggers, which drops late rows, took in, sent and dropped, though its progress is held for one trigger only."""
+    root, r = fresh_path(spark, "accounts"), given.readings(spark, sf_dir).select("id", EVENT_TIME)
+    for part in range(6):
+        r.filter(F.col("id") % 6 == part).coalesce(1).write.mode("append").parquet(f"{root}/feed")
+        time.sleep(0.05)  # files are read in the order of their times
+    held = "spark.sql.streaming.numRecentProgressUpdates"
+    before, kept = spark.conf.get(held), Accounts(spark, f"{root}/accounts")
+    spark.streams.addListener(kept)
+    try:
+        spark.conf.set(held, 1)
+        stream = spark.readStream.schema(r.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/feed")
+        unique = counted(stream.withWatermark(EVENT_TIME, "10 days").dropDuplicates(["id", EVENT_TIME]))
+        with state_settings(spark):
+            query = write_rows(unique, f"{root}/checkpoint", f"{root}/rows", available_now=True)
+        drain(query)
+        kept.settle(query)
+    finally:
+        spark.streams.removeListener(kept)
+        spark.conf.set(held, before)
+    told = accounts(spark, f"{root}/accounts").filter("rows_in > 0")
+    return told.select(F.row_number().over(Window.orderBy("batch")).alias("part"), "rows_in", "rows_out", "rows_late")
+
+
 QUERIES = {
+    "frame_versions": frame_versions,
+    "alerts_once": alerts_once,
+    "delivery_accounts": delivery_accounts,
     "match_rejects": match_rejects,
     "daily_reload": daily_reload,
     "suppression_handover": suppression_handover,

@@ -1,8 +1,33 @@
 """The same results in SQL as the queries of `reliability`."""
 
-from gustline.plans.oracles import ALERTS, CHAIN, CLOSED_ALERTS, PAYLOADS, RAISED, READINGS, _with
+from gustline.plans.oracles import ALERTS, CHAIN, CLOSED_ALERTS, PAYLOADS, RAISED, READINGS, THRESHOLDS, _with
 
 ORACLES = {
+    "frame_versions": _with(READINGS, PAYLOADS) + """,
+told AS (
+  SELECT *, CASE WHEN id % 23 = 0 THEN NULL WHEN id % 19 = 0 THEN 99 WHEN id % 2 = 0 THEN 7 ELSE 8 END AS schema_id
+  FROM flat
+),
+judged AS (
+  SELECT *, CASE WHEN schema_id IS NULL THEN 'no frame' WHEN schema_id = 99 THEN 'unknown schema'
+                 WHEN id % 29 = 0 THEN 'not decoded' ELSE '' END AS reason
+  FROM told
+)
+SELECT id, CAST(schema_id AS BIGINT) AS schema_id, reason, CASE WHEN reason = '' THEN city END AS city,
+       CASE WHEN reason = '' THEN temperature END AS temperature, CASE WHEN reason = '' AND schema_id = 7 THEN pressure END AS pressure,
+       CASE WHEN reason = '' THEN humidity END AS humidity, CASE WHEN reason = '' THEN dt END AS dt
+FROM judged""",
+    "alerts_once": _with(READINGS, THRESHOLDS) + """
+SELECT event_timestamp, id, city, country, round(temperature, 6) AS temperature, pressure, visibility, wind_speed,
+       temp_anomaly, pressure_anomaly, visibility_anomaly, wind_anomaly, true AS sent_again
+FROM thresholds""",
+    # A trigger drops what lies behind the mark that the one before it went by, which knew the parts before that.
+    "delivery_accounts": _with(READINGS) + """,
+parts AS (SELECT id % 6 AS part, max(event_timestamp) AS latest FROM r GROUP BY 1),
+marks AS (SELECT part, max(latest) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) - INTERVAL 10 DAY AS mark FROM parts)
+SELECT CAST(part + 1 AS INTEGER) AS part, count(*) AS rows_in, count(*) FILTER (mark IS NULL OR event_timestamp > mark) AS rows_out,
+       count(*) FILTER (event_timestamp <= mark) AS rows_late
+FROM r JOIN marks ON r.id % 6 = part GROUP BY part""",
     "match_rejects": """
 WITH polls AS (SELECT o_orderkey AS poll, o_orderpriority <> '1-URGENT' AS held FROM orders),
 elements AS (

@@ -32,6 +32,11 @@ READING = record(
     dt=LONG, ingested_at=TEXT,
 )
 
+# A later layout of the readings, as a registry would hold it beside the first: fewer fields, one more, wider numbers.
+READING_V2 = record(
+    id=LONG, city=TEXT, country=TEXT, temperature=DOUBLE, humidity=LONG, dt=LONG, ingested_at=TEXT, station=TEXT,
+)
+
 READING_PAYLOAD = record(
     id=LONG, name=TEXT, sys=record(country=TEXT),
     weather=ArrayType(record(main=TEXT, description=TEXT)),

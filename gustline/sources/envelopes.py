@@ -4,12 +4,14 @@ The Kafka and Avro forms need the spark-sql-kafka and spark-avro packages on the
 The file form carries the same envelope rows in parquet folders.
 """
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.avro.functions import from_avro, to_avro
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from gustline.functions.frames import add_frame, strip_frame
+from gustline.functions.frames import add_frame, frame_schema_id, strip_frame
 from gustline.functions.times import event_time
 from gustline.schemas import ALERT, ENVELOPE
 
@@ -94,10 +96,73 @@ def read_readings(envelopes: DataFrame, schema: StructType | str, framed: bool =
     return decode(envelopes, schema, framed).withColumn("event_timestamp", event_time("dt"))
 
 
+# Why a framed value makes no record.
+NO_FRAME, UNKNOWN_SCHEMA, NOT_DECODED = "no frame", "unknown schema", "not decoded"
+
+
+def decode_versions(envelopes: DataFrame, schemas: Mapping[int, StructType | str], target: StructType) -> DataFrame:
+    """Envelopes of a topic whose values follow several schemas: all their columns, `schema_id`, the `record` each makes in the
+    layout of `target`, and the `reason` why it makes none.
+
+    Each value is decoded with the schema its frame names, and by no other: Avro for a schema text, JSON for a
+    StructType. A field that a schema does not have is null, one that `target` does not have is left out. A value without a
+    frame, of a schema that is not in `schemas`, or that does not fit its schema is rejected and keeps its envelope.
+    """
+    corrupt, body = "_corrupt", strip_frame("value")
+    rows, made, fits = envelopes.withColumn("schema_id", frame_schema_id("value")), [], []
+    for number, schema in schemas.items():
+        name = f"_v{number}"
+        if isinstance(schema, str):
+            parsed = from_avro(body, schema, {"mode": "PERMISSIVE"})
+        else:
+            layout = StructType([*schema, StructField(corrupt, StringType())])
+            parsed = F.from_json(body.cast("string"), layout, {"columnNameOfCorruptRecord": corrupt})
+        # What a generator makes is decoded once.
+        rows = rows.withColumn(name, F.explode(F.array(F.when(F.col("schema_id") == number, parsed))))
+        has = set(rows.schema[name].dataType.fieldNames())
+        fields = [(F.col(f"{name}.{f.name}") if f.name in has else F.lit(None)).cast(f.dataType).alias(f.name) for f in target]
+        good = F.col(name).isNotNull()
+        good = good & F.col(f"{name}.{corrupt}").isNull() if corrupt in has else good
+        made.append(F.when(good, F.struct(*fields)))
+        fits.append(good)
+    known = F.col("schema_id").isin(*schemas)
+    decoded = F.coalesce(*made)
+    reason = F.when(F.col("schema_id").isNull(), NO_FRAME).when(~known, UNKNOWN_SCHEMA).when(decoded.isNull(), NOT_DECODED)
+    return rows.select(*envelopes.columns, "schema_id", decoded.alias("record"), reason.alias("reason"))
+
+
+def once(envelopes: DataFrame, within: str = "1 hour") -> DataFrame:
+    """Messages of a stream without those that are sent again: a producer that runs a batch again sends it whole again.
+
+    A message is known by its topic, key and value, so equal messages count as one. An id is remembered while the
+    watermark, `within` behind the latest envelope's time, has not passed it; what is sent again later than that comes through.
+    """
+    told = envelopes.withWatermark("timestamp", within)
+    same = F.sha2(F.concat_ws("/", F.hex(F.encode("topic", "UTF-8")), F.hex("key"), F.hex("value")), 256)
+    return told.withColumn("message_id", same).dropDuplicatesWithinWatermark(["message_id"]).drop("message_id")
+
+
+def alert_rejects(envelopes: DataFrame) -> DataFrame:
+    """Messages of the alert topic that are no alert: not a JSON object, or a field of a wrong type."""
+    return _parsed_alerts(envelopes).filter(~_is_alert()).drop(PARSED)
+
+
+def _parsed_alerts(envelopes: DataFrame) -> DataFrame:
+    layout = StructType([*ALERT, StructField("_corrupt", StringType())])
+    parsed = F.from_json(F.col("value").cast("string"), layout, {"columnNameOfCorruptRecord": "_corrupt"})
+    return envelopes.withColumn(PARSED, F.explode(F.array(parsed)))
+
+
+def _is_alert() -> Column:
+    return F.col(PARSED).isNotNull() & F.col(f"{PARSED}._corrupt").isNull()
+
+
+PARSED = "_parsed"
+
+
 def decode_alerts(envelopes: DataFrame) -> DataFrame:
-    """Alert messages; an omitted field is null."""
-    parsed = F.from_json(F.col("value").cast("string"), ALERT)
-    return envelopes.select(parsed.alias("data")).select("data.*")
+    """Alert messages; an omitted field is null. What is no alert is left out: `alert_rejects` returns it."""
+    return _parsed_alerts(envelopes).filter(_is_alert()).select([F.col(f"{PARSED}.{f.name}") for f in ALERT])
 
 
 def keyed_envelopes(

@@ -14,7 +14,7 @@ from gustline.functions.times import display_clock, ingested_at
 from gustline.operators import matches as m
 from gustline.operators.quality import MATCH_KEYS, READING_KEYS, ValidationError, check_records, validate
 from gustline.operators.readings import PLACES, flatten_payloads, in_places, payload_rejects, with_event_time
-from gustline.schemas import ALERT, ENVELOPE, MATCH, READING
+from gustline.schemas import ALERT, ENVELOPE, LONG, MATCH, READING, TEXT, record
 from gustline.sources import envelopes as e
 
 STAMP = datetime(2024, 3, 1, 12, 0, 0, 250)
@@ -228,3 +228,23 @@ def test_clock_texts(spark):
     frame = spark.range(1).select(F.lit(STAMP).cast("timestamp").alias("t"))
     row = frame.select(display_clock("t").alias("c"), ingested_at(F.col("t")).alias("i")).first()
     assert (row.c, row.i) == ("19:00:00", "2024-03-01T12:00:00.000250")
+
+
+def test_values_are_decoded_by_the_schema_they_name(spark):
+    first, second = record(id=LONG, city=TEXT), record(id=LONG, more=TEXT)
+    bodies = [(7, '{"id":1,"city":"a"}'), (8, '{"id":2,"more":"b"}'), (9, '{"id":3}'), (7, '{"id":"x"}'), (8, "{"), (7, "{}")]
+    rows = [(k, number, body) for k, (number, body) in enumerate(bodies)]
+    frame = spark.createDataFrame(rows, "k INT, number INT, body STRING")
+    framed = frame.select("k", F.concat(F.unhex(F.concat(F.lit("00"), F.lpad(F.hex("number"), 8, "0"))), F.col("body").cast("binary")).alias("value"))
+    bare = spark.createDataFrame([(6, None), (7, bytearray(b"abc"))], "k INT, value BINARY")
+    found = e.decode_versions(framed.unionByName(bare), {7: first, 8: second}, record(id=LONG, city=TEXT)).orderBy("k").collect()
+    assert [(r.schema_id, r.reason, r.record and tuple(r.record)) for r in found] == [
+        (7, None, (1, "a")), (8, None, (2, None)), (9, "unknown schema", None), (7, "not decoded", None), (8, "not decoded", None),
+        (7, None, (None, None)), (None, "no frame", None), (None, "no frame", None)]
+
+
+def test_what_is_no_alert_is_set_aside(spark):
+    rows = [('{"alert_type":"change","city":"a"}',), ("no json",), ('{"id":"x"}',), ("{}",), (None,)]
+    messages = spark.createDataFrame(rows, "value STRING")
+    assert [r.city for r in e.decode_alerts(messages).orderBy("city").collect()] == [None, "a"]
+    assert sorted(r.value or "" for r in e.alert_rejects(messages).collect()) == ["", "no json", '{"id":"x"}']

@@ -16,9 +16,10 @@ from gustline.operators.windows import EVENT_TIME, WATERMARK, WINDOW_MINUTES, wi
 from gustline.plans import given
 from gustline.schemas import ALERT
 from gustline.operators.quality import ValidationError
-from gustline.sources.envelopes import TRIGGER_LIMITS, decode_alerts, read_topic
+from gustline.sources.envelopes import TRIGGER_LIMITS, alert_envelopes, decode_alerts, once, publish, read_topic
 from gustline.sources.shared import CHECKPOINT_SETTING, shared_folder
 from gustline.sources.sinks import write_alerts, write_console, write_rows
+from gustline.streaming.accounts import Accounts, accounts, counted
 from gustline.streaming.audit import held_emissions
 from gustline.streaming.delivery import start_notifications
 from gustline.streaming.feeds import publish_history, publish_matches, publish_readings, start_feed
@@ -294,6 +295,31 @@ def test_progress_tells_what_was_delivered(spark, folder):
     assert sum(p["rows_in"] for p in delivered(query)) == out.count() == 2
 
 
+def test_accounts_outlive_the_progress_buffer(spark, folder):
+    kept = Accounts(spark, f"{folder}/accounts")
+    spark.streams.addListener(kept)
+    try:
+        for part in range(3):
+            rows = [reading(id=10 * part + k, minute=100 * part) for k in range(part + 1)]
+            stream = feed(spark, folder, rows).select("id").filter("id % 10 > 0")
+            _, query = run(spark, folder, counted(stream))
+            kept.settle(query)
+    finally:
+        spark.streams.removeListener(kept)
+    told = [tuple(r) for r in accounts(spark, f"{folder}/accounts").filter("rows_in > 0").orderBy("batch").select("rows_in", "rows_out", "rows_late").collect()]
+    assert told == [(1, 0, 0), (2, 1, 0), (3, 2, 0)]
+
+
+def test_messages_sent_again_are_taken_once(spark, folder):
+    alerts = threshold_layout(readings(spark, [reading(id=i, temperature=40.0) for i in range(5)]))
+    for _ in range(2):
+        publish(alert_envelopes(alerts, "t"), kind="files", folder=f"{folder}/topic")
+        messages = once(read_topic(spark, "t", "files", folder=f"{folder}/topic"))
+        out, _ = run(spark, folder, decode_alerts(messages))
+    assert spark.read.parquet(f"{folder}/topic").count() == 10
+    assert sorted(r.id for r in out.collect()) == [0, 1, 2, 3, 4]
+
+
 def test_clock_is_checked(spark):
     with pytest.raises(ValueError):
         suppress_repeats_stream(spark.range(1), clock="moon")
