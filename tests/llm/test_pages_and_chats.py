@@ -3,6 +3,7 @@
 import heapq
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -75,6 +76,23 @@ def test_markup_tells_the_article():
     assert [page_text(x) for x in (None, "", "  ", "<p", "<script>x")] == [("", "")] * 2 + [("", "")] + [("", "<p")] + [("", "")]
 
 
+def test_articles_keep_what_only_sounds_like_furniture():
+    for attributes in ('class="overflow-hidden"', 'data-state="hidden-no"', 'class="related-work"', 'class="search-tips"', 'class="social-history"',
+                       'hidden="false"', 'style="color:red"', 'title="a > b" class=\'x\'', "data-x='display:none'"):
+        assert page_text(f"<article><div {attributes}><p>Real body text.</p></div> More.</article>") == ("Real body text. More.", "")
+    for attributes in ("hidden", 'HIDDEN=""', 'style="display : none"', 'aria-hidden="true"', 'class="x comments"', "id=share", 'role="navigation"'):
+        assert page_text(f"<article><div {attributes}><p>Gone.</p></div> More.</article>") == ("More.", "")
+    assert page_text("<article>a <button>b</button> c <select><option>d</select> e <svg>f") == ("a c e f", "")
+    assert page_text("<article>a < b <3 <!doctype x> <a href=\"x'y\">c</a> <p title='never closed>d</p> e") == ("a < b <3 c d e", "")
+
+
+@pytest.mark.parametrize("piece", ["<script ", '<a "', "<a ", "<a '", "<", "</", "<!--", "<!", "<svg>", "<button>", '<p class="', "<p class='a\" ", "<style>", "<div hidden", "<article><nav>", "&amp", "<p a=b "])
+def test_hostile_pages_take_time_by_their_length(piece):
+    started = time.perf_counter()
+    page_text(piece * (1_000_000 // len(piece)))
+    assert time.perf_counter() - started < 3
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.lists(st.sampled_from("ab"), max_size=20), min_size=1, max_size=5), st.integers(1, 6))
 def test_shared_runs_equal_brute_force(streams, run):
