@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gustline.llm.text import plain_words, record, slices, texts
+from gustline.llm.text import as_bytes, plain_words, record, slices, texts
 
 #: Words of a window.
 WIDTH = 10
@@ -26,7 +26,7 @@ def windows(items, width: int = WIDTH) -> dict[str, tuple[int, tuple[int, ...]]]
         words = plain_words(text)
         for i in range(max(1, len(words) - width + 1) if words else 0):
             part = words[i : i + width]
-            found.setdefault(f" {b' '.join(part).decode()} ", (len(part), set()))[1].add(item)
+            found.setdefault(f" {b' '.join(part).decode(errors='replace')} ", (len(part), set()))[1].add(item)
     return {k: (n, tuple(sorted(x for x in s if x is not None))) for k, (n, s) in found.items()}
 
 
@@ -46,7 +46,7 @@ def occurrences(machine, text: bytes | None) -> tuple[int, list[tuple[int, int,
     words = plain_words(text)
     if not words or not len(machine):
         return len(words), []
-    joined = f" {b' '.join(words).decode()} "
+    joined = f" {b' '.join(words).decode(errors='replace')} "
     ends = list(machine.iter(joined))
     if not ends:
         return len(words), []
@@ -78,7 +78,7 @@ def contaminated_words(
     automaton and pass, and the hits of all passes are united, so no worker ever holds more than a part.
 
     Null and empty texts have no words. Items without words have no windows; an item with a null
-    id hits words but is not listed. Repeated rows give repeated results.
+    id hits words but is not listed. Repeated rows give repeated results. Bytes that are not UTF-8 count as U+FFFD.
     """
     parts = list(_parts(items, item_id, item_text, most))
     found = [_scan(docs, part, id_col, text_col) for part in parts]
@@ -131,8 +131,8 @@ def _merged(text: bytes | None, n: int, hits: list) -> tuple[list[int], list[dic
     places = [m.span() for m in WORD.finditer(text.lower())]
     spans = []
     for first, after in edges.reshape(-1, 2).tolist():
-        start = len(text[: places[first][0]].decode())
-        spans.append({"start": start, "stop": start + len(text[places[first][0] : places[after - 1][1]].decode())})
+        start = len(text[: places[first][0]].decode(errors="replace"))
+        spans.append({"start": start, "stop": start + len(text[places[first][0] : places[after - 1][1]].decode(errors="replace"))})
     return np.flatnonzero(inside).tolist(), spans, sorted({str(i) for *_, items in hits for i in items})
 
 
@@ -148,15 +148,16 @@ def contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", most: int = MOST_CHARACTERS) -> DataFrame:
     """The documents without a hit word, with all columns.
 
-    Map-only for one automaton. Where the benchmark needs more of them, the digests of hit texts are gathered pass
+    Null and empty texts have no hits and stay; repeated rows share their fate; an empty table gives none, and an empty
+    benchmark drops none. Bytes that are not UTF-8 count as U+FFFD. Map-only for one automaton. Where the benchmark needs more of them, the digests of hit texts are gathered pass
     by pass and rows with such a text are left out.
     """
     parts = list(_parts(items, "item_id", "text", most))
     if len(parts) == 1:
-        return docs.where(~F.coalesce(_hit_by(parts[0])(text_col), F.lit(False)))
+        return docs.where(~F.coalesce(_hit_by(parts[0])(as_bytes(text_col)), F.lit(False)))
     bad = None
     for part in parts:
-        hit = docs.where(_hit_by(part)(text_col)).select(F.sha2(text_col, 256).alias("__digest"))
+        hit = docs.where(_hit_by(part)(as_bytes(text_col))).select(F.sha2(text_col, 256).alias("__digest"))
         bad = hit if bad is None else bad.union(hit)
     marked = docs.withColumn("__digest", F.coalesce(F.sha2(text_col, 256), F.lit("")))
     return marked.join(bad.distinct(), "__digest", "left_anti").drop("__digest")
@@ -168,6 +169,6 @@ def _hit_by(patterns):
     def hit(batch: pd.Series) -> pd.Series:
         if not machine:
             machine.append(automaton(patterns.value))
-        return pd.Series([bool(occurrences(machine[0], x and x.encode())[1]) for x in batch], dtype=bool)
+        return pd.Series([bool(occurrences(machine[0], x)[1]) for x in batch], dtype=bool)
 
     return F.pandas_udf(hit, "boolean")

@@ -146,7 +146,7 @@ def load_vocabularies(folder: str = FOLDER, bands: dict = BANDS) -> dict:
 def judge(data: bytes | None, lang: str | None, vocabularies: list[Vocabulary]) -> tuple:
     """The base counts, the measures of each vocabulary, whether the base rules fail, and the verdict."""
     data = data or b""
-    text, words = data.decode(), data.split()
+    text, words = data.decode(errors="replace"), data.split()
     base = base_counts(data, words)
     measured = [t.measure(text, len(words), base[0]) for t in vocabularies]
     failed = len(words) < LEAST_WORDS or 100 * base[3] > 50 * len(words)
@@ -164,7 +164,8 @@ def quality(
     language, or of the script of most of its letters where the language is null or has no band.
     Map-only; the driver sends the files.
 
-    Null and empty texts have no words and are not kept. Repeated rows give repeated results.
+    Null and empty texts have no words and are not kept. Repeated rows give repeated results. Bytes that are not UTF-8
+    reach the tokenisers as U+FFFD and count as what they are in the base counts.
     """
     sent = docs.sparkSession.sparkContext.broadcast(vocabularies or load_vocabularies())
     schema = pa.schema([
@@ -187,10 +188,13 @@ def quality(
 
 
 def keep_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", vocabularies: dict | None = None) -> DataFrame:
-    """The rows whose text and language pass, with all columns; map-only."""
+    """The rows whose text and language pass, as `quality` judges them, with all columns; map-only.
+
+    Null and empty texts go, repeated rows share their fate, and an empty table gives none.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(vocabularies or load_vocabularies())
 
     def passes(batch: pd.Series, langs: pd.Series) -> pd.Series:
-        return pd.Series([judge(t and t.encode(), lang, tools(sent.value))[-1] for t, lang in zip(batch, langs)], dtype=bool)
+        return pd.Series([judge(t, lang, tools(sent.value))[-1] for t, lang in zip(batch, langs)], dtype=bool)
 
-    return docs.where(F.pandas_udf(passes, "boolean")(F.col(text_col).cast("string"), F.col(lang_col).cast("string")))
+    return docs.where(F.pandas_udf(passes, "boolean")(as_bytes(text_col), F.col(lang_col).cast("string")))

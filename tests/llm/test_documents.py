@@ -400,6 +400,19 @@ def test_most_similar_lines_are_linked(spark):
         assert len(similar) >= 20 and linked >= 0.9 * len(similar), (n, linked, len(similar))
 
 
+def test_bytes_that_are_no_text(spark):
+    """Strings that hold bytes which are not UTF-8, as Spark lets them."""
+    rows = spark.createDataFrame([(1, bytearray(b"one \xff two three"),), (2, bytearray(b"\xc3")), (3, bytearray(b"word " * 60 + b"\xfe"))], "doc_id long, raw binary")
+    docs = rows.select("doc_id", F.col("raw").cast("string").alias("text"), F.lit("en").alias("lang"))
+    items = spark.createDataFrame([(7, "two three")], "item_id long, text string")
+    found = {r.doc_id: (r.n_words, r.hit_words) for r in decontaminate.contaminated_words(docs, items).collect()}
+    assert found == {1: (4, [2, 3]), 2: (1, []), 3: (61, [])}
+    assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs, items).select("doc_id").collect()) == [2, 3]
+    assert {r.doc_id: r.n_words for r in fertility.quality(docs).collect()} == {1: 4, 2: 1, 3: 61}
+    assert fertility.keep_quality(docs).select("doc_id").count() == 0
+    assert fuzzy_lines.line_report(docs).count() == 3 and simhash_docs.near_duplicates(docs).count() == 3
+
+
 def test_a_line_of_symbols_is_left(spark):
     docs = documents(spark, [(1, "the same line", ""), (2, "the same line\n\u2605\U0001f600", ""), (3, "the same line\n...", "")])
     assert {r.doc_id: r.text for r in fuzzy_lines.drop_repeated_lines(docs).collect()} == {1: "the same line", 2: "\u2605\U0001f600"}
