@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +18,6 @@ END, START = 0x9AE16A3B2F90404F, 0xC949D7C7509E6557
 RATIO = 1.5
 #: Bits of the filter for each n-gram and level, and bits that each sets.
 BITS_EACH, PROBES = 10, 4
-#: Most bytes of the whole filter, which is sent to the workers. Where it would be larger, n-grams
-#: of the smallest counts stay out of the filter (not out of the unigram counts).
-MOST_BYTES = 128_000_000
 #: Contexts of more frequent levels share the mixing weight of the last.
 LEVELS = 64
 #: Words of a chunk of documents that are packed together.
@@ -49,24 +47,21 @@ def mean_count(level: np.ndarray) -> np.ndarray:
 
 
 class Filter:
-    """Blocks of bits, one for each bucket of n-gram hashes."""
+    """The bits of one bucket's n-grams."""
 
-    def __init__(self, bits: np.ndarray, first: np.ndarray, sizes: np.ndarray):
-        self.bits, self.first, self.sizes = bits, first, sizes
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
 
     def has(self, keys: np.ndarray, level: int) -> np.ndarray:
-        bucket = (keys % np.uint64(len(self.sizes))).astype(np.int64)
-        size, first = self.sizes[bucket].astype(np.uint64), self.first[bucket]
-        found = size > 0
-        size = np.maximum(size, np.uint64(1))
-        for place in places(keys, level, size):
-            at = first + place.astype(np.int64)
-            found &= (self.bits[np.minimum(at >> 3, len(self.bits) - 1)] >> (at & 7).astype(np.uint8)) & 1 == 1
+        found = np.full(len(keys), len(self.bits) > 0)
+        if len(self.bits):
+            for place in places(keys, level, np.uint64(8 * len(self.bits))):
+                found &= (self.bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
         return found
 
     def level(self, keys: np.ndarray) -> np.ndarray:
         """The level up to which all lower ones are in the filter."""
-        out, left, level = np.zeros(len(keys), np.int64), np.arange(len(keys)), 0
+        out, left, level = np.zeros(len(keys), np.uint8), np.arange(len(keys)), 0
         while len(left):
             level += 1
             left = left[self.has(keys[left], level)]
@@ -82,20 +77,15 @@ def places(keys: np.ndarray, level, size):
         yield (one + np.uint64(k) * two) % size
 
 
-def block(keys: np.ndarray, counts: np.ndarray, most: int) -> tuple[bytes, int]:
-    """The bits of a bucket's n-grams, and the least count that is in; the largest block that fits `most` bytes."""
+def block(keys: np.ndarray, counts: np.ndarray, bits_each: int = BITS_EACH) -> np.ndarray:
+    """The bits of a bucket's n-grams, each at every level up to that of its count."""
     level = levels(counts)
-    least, total = 1, int(level.sum())
-    while total * BITS_EACH > most * 8:
-        least += 1
-        total = int(level[level >= least].sum())
-    keys, level = keys[level >= least], level[level >= least]
-    size = -(-total * BITS_EACH // 64) * 64
+    size = -(-int(level.sum()) * bits_each // 64) * 64
     bits = np.zeros(size // 8, np.uint8)
     for step in range(1, int(level.max(initial=0)) + 1):
         for place in places(keys[level >= step], step, np.uint64(size)):
             np.bitwise_or.at(bits, (place >> np.uint64(3)).astype(np.int64), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
-    return bits.tobytes(), least
+    return bits
 
 
 def held_out(ident: int | None) -> bool:
@@ -110,57 +100,59 @@ def _tokens(known: WordHashes):
     return of
 
 
+def _grams(tokens: np.ndarray, sizes: np.ndarray, count: int) -> np.ndarray:
+    """For each token the hash of it and the one before it, or the start."""
+    before = np.concatenate([[np.uint64(START)], tokens[:-1]])
+    before[np.cumsum(sizes) - sizes] = START
+    return pairs(before, tokens, count)
+
+
+def _dealt(keys: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the keys by bucket, and the buckets in that order."""
+    home = (keys % np.uint64(count)).astype(np.int64)
+    order = np.argsort(home, kind="stable")
+    return order, home[order]
+
+
+#: What a chunk sends to the buckets; the last four stand in one row of each chunk, and pass through.
+OWN = [("ids", pa.binary()), ("sizes", pa.binary()), ("hashes", pa.binary()), ("place", pa.binary())]
 SENT = pa.schema([
-    ("bucket", pa.int64()), ("chunk", pa.int64()), ("words", pa.binary()), ("trained", pa.binary()), ("uses", pa.binary()),
-    ("docs", pa.binary()), ("times", pa.binary()), ("pairs", pa.binary()), ("pair_counts", pa.binary()), ("rows", pa.int64()), ("table", pa.binary()),
+    ("bucket", pa.int64()), ("chunk", pa.int64()), ("words", pa.binary()), ("trained", pa.binary()), ("pairs", pa.binary()),
+    ("pair_counts", pa.binary()), *OWN,
 ])
+SENT_FIELDS = "bucket long, chunk long, words binary, trained binary, pairs binary, pair_counts binary, ids binary, sizes binary, hashes binary, place binary"
 
 
-def _emit(rows: list, count: int) -> pa.RecordBatch:
-    """A chunk's distinct tokens with their documents, and its distinct training bigrams, by bucket."""
-    ends = np.array([END], np.uint64)
+def _emit(rows: list, count: int, number: int) -> pa.RecordBatch:
+    """A chunk's distinct tokens and bigrams with their counts in training texts, by bucket."""
     sizes = np.array([len(r[1]) + 1 for r in rows], np.int64)
-    tokens = np.concatenate([x for r in rows for x in (r[1], ends)])
-    doc = np.repeat(np.arange(len(rows)), sizes)
+    tokens = np.concatenate([x for r in rows for x in (r[1], np.array([END], np.uint64))])
     ids = np.array([NO_ID if r[0] is None else r[0] for r in rows], np.int64)
-    digests = np.array([r[2] & 0xFFFFFFFF for r in rows], np.uint32)
-    learnt = np.array([not held_out(r[0]) for r in rows])
-    table = pack(ids) + pack(digests)
-    chunk = zlib.crc32(table) << 31 ^ zlib.adler32(table)
+    learnt = np.repeat([float(not held_out(r[0])) for r in rows], sizes)
+    chunk = TaskContext.get().partitionId() << 40 | number << 16 | zlib.crc32(pack(tokens)) & 0xFFFF
 
     words, place = np.unique(tokens, return_inverse=True)
-    trained = np.bincount(place, weights=learnt[doc], minlength=len(words)).astype(np.uint32)
-    uses, times = np.unique(place * len(rows) + doc, return_counts=True)
-    word_of, doc_of = uses // len(rows), uses % len(rows)
-    n_uses = np.bincount(word_of, minlength=len(words))
-    home = (words % np.uint64(count)).astype(np.int64)
-    word_order = np.argsort(home, kind="stable")
-    use_order = np.argsort(home[word_of], kind="stable")
-
-    before = np.concatenate([[np.uint64(START)], tokens[:-1]])
-    before[np.cumsum(sizes) - sizes] = START
-    grams, counts = np.unique(pairs(before, tokens, count)[learnt[doc]], return_counts=True)
-    gram_home = (grams % np.uint64(count)).astype(np.int64)
-    gram_order = np.argsort(gram_home, kind="stable")
-
-    keys = np.arange(count + 1)
-    w, u, g = (np.searchsorted(h[o], keys) for h, o in ((home, word_order), (home[word_of], use_order), (gram_home, gram_order)))
+    grams, at = np.unique(_grams(tokens, sizes, count), return_inverse=True)
+    trained, counts = (np.bincount(i, weights=learnt).astype(np.uint32) for i in (place, at))
+    own = (pack(ids), pack(sizes), pack(words), pack(place.astype(np.uint32)))
+    (word_order, word_home), (gram_order, gram_home) = _dealt(words, count), _dealt(grams, count)
+    used = np.unique(np.concatenate([word_home, gram_home, [chunk % count]]))
+    w, g = (np.searchsorted(home, [used, used + 1]).T.tolist() for home in (word_home, gram_home))
     out = []
-    for k in range(count):
-        a, b, c = word_order[w[k] : w[k + 1]], use_order[u[k] : u[k + 1]], gram_order[g[k] : g[k + 1]]
-        own = table if k == chunk % count else b""
-        if len(a) or len(c) or own:
-            out.append((
-                k, chunk, pack(words[a]), pack(trained[a]), pack(n_uses[a].astype(np.uint32)), pack(doc_of[b].astype(np.uint32)),
-                pack(times[b].astype(np.uint32)), pack(grams[c] // np.uint64(count), 7), pack(counts[c].astype(np.uint32)), len(rows), own,
-            ))
+    for k, (a, b), (c, d) in zip(used.tolist(), w, g):
+        x, y = word_order[a:b], gram_order[c:d]
+        out.append((
+            k, chunk, pack(words[x]), pack(trained[x]), pack(grams[y] // np.uint64(count), 7), pack(counts[y]),
+            *(own if k == chunk % count else (None,) * 4),
+        ))
     return record(SENT, *zip(*out))
 
 
 COUNTED = pa.schema([
-    ("bucket", pa.int64()), ("chunk", pa.int64()), ("sums", pa.binary()), ("known", pa.binary()), ("rows", pa.int64()), ("table", pa.binary()),
-    ("total", pa.int64()), ("distinct", pa.int64()), ("bits", pa.binary()), ("unigram_least", pa.int64()),
+    ("bucket", pa.int64()), ("chunk", pa.int64()), ("word_levels", pa.binary()), ("word_counts", pa.binary()), ("pair_levels", pa.binary()),
+    ("total", pa.int64()), ("distinct", pa.int64()), *OWN,
 ])
+COUNTED_FIELDS = "bucket long, chunk long, word_levels binary, word_counts binary, pair_levels binary, total long, distinct long, ids binary, sizes binary, hashes binary, place binary"
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,9 +162,9 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def _count(count: int, most: int):
-    """Counts of one bucket's tokens and bigrams: its block of the filter, and for each chunk its
-    documents' sums of log10(c + 0.5) and numbers of known tokens."""
+def _count(count: int, bits_each: int):
+    """Counts of one bucket's tokens and bigrams make its block of the filter, which is probed for them; each
+    chunk gets the levels of its own, and the counts of its tokens."""
 
     def reduce(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -181,160 +173,152 @@ def _count(count: int, most: int):
         words, totals = _summed(np.concatenate(word_parts), np.concatenate([unpack(r["trained"], np.uint32) for r in rows]))
         gram_parts = [unpack(r["pairs"], np.uint64, 7) for r in rows]
         grams, counts = _summed(np.concatenate(gram_parts), np.concatenate([unpack(r["pair_counts"], np.uint32) for r in rows]))
-        del gram_parts
-        seen = totals > 0
-        keys = np.concatenate([words[seen], grams * np.uint64(count) + np.uint64(bucket)])
-        bits, least = block(keys, np.concatenate([totals[seen], counts]), most)
-        del keys, grams, counts
+        keys, learnt = np.concatenate([words, grams * np.uint64(count) + np.uint64(bucket)]), np.concatenate([totals, counts])
+        level = Filter(block(keys[learnt > 0], learnt[learnt > 0], bits_each)).level(keys)
+        sums = (int(totals.sum()), int((totals > 0).sum()))
         out = []
-        for r, part in zip(rows, word_parts):
-            c = totals[np.searchsorted(words, part)].astype(float)
-            uses = unpack(r["uses"], np.uint32)
-            doc, times = unpack(r["docs"], np.uint32), unpack(r["times"], np.uint32)
-            sums = np.bincount(doc, weights=np.repeat(np.log10(c + 0.5), uses) * times, minlength=r["rows"])
-            known = np.bincount(doc, weights=np.repeat(c > 0, uses) * times, minlength=r["rows"])
-            out.append((bucket, r["chunk"], pack(sums), pack(known.astype(np.uint32)), r["rows"], r["table"], 0, 0, b"", 0))
-        out.append((bucket, None, b"", b"", 0, b"", int(totals.sum()), int(seen.sum()), bits, least))
+        for r, own_words, own_grams in zip(rows, word_parts, gram_parts):
+            x, y = np.searchsorted(words, own_words), np.searchsorted(grams, own_grams)
+            own = [r[name] for name, _ in OWN]
+            out.append((bucket, r["chunk"], pack(level[x]), pack(totals[x]), pack(level[len(words) + y]), *sums, *own))
+            sums = (0, 0)
         return pa.table(record(COUNTED, *zip(*out)))
 
     return reduce
 
 
-def _documents():
-    """Sums over buckets for each document of a chunk."""
-    schema = pa.schema([("id", pa.int64()), ("digest", pa.int64()), ("sum", pa.float64()), ("n_known", pa.int64())])
+DOCUMENT = pa.schema([
+    ("id", pa.int64()), ("n_known", pa.int64()), ("sum", pa.float64()), ("levels", pa.binary()), ("pair_levels", pa.binary()),
+    ("total", pa.int64()), ("distinct", pa.int64()),
+])
+DOCUMENT_FIELDS = "id long, n_known long, sum double, levels binary, pair_levels binary, total long, distinct long"
+
+
+def _documents(count: int):
+    """A chunk's documents: sums of log10(c + 0.5), numbers of known tokens, and the level of each token and bigram in their order."""
+
+    def back(keys: np.ndarray, parts: list) -> np.ndarray:
+        found = np.concatenate(parts)
+        out = np.empty(len(keys), found.dtype)
+        out[_dealt(keys, count)[0]] = found
+        return out
 
     def each(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["bucket"])
-        n = rows[0]["rows"]
-        place = next(r["table"] for r in rows if r["table"])
-        sums, known = np.zeros(n), np.zeros(n, np.int64)
-        seen = set()
-        for r in rows:
-            if r["bucket"] not in seen:  # chunks with equal documents have equal rows
-                seen.add(r["bucket"])
-                sums += unpack(r["sums"], np.float64)
-                known += unpack(r["known"], np.uint32)
-        return pa.table(record(schema, unpack(place[: 8 * n], np.int64), unpack(place[8 * n :], np.uint32).astype(np.int64), sums, known))
+        own = next(r for r in rows if r["ids"] is not None)
+        ids, sizes, words = unpack(own["ids"], np.int64), unpack(own["sizes"], np.int64), unpack(own["hashes"], np.uint64)
+        place = unpack(own["place"], np.uint32)
+        counts = back(words, [unpack(r["word_counts"], np.int64) for r in rows])
+        level = back(words, [unpack(r["word_levels"], np.uint8) for r in rows])[place].tobytes()
+        grams, at = np.unique(_grams(words[place], sizes, count), return_inverse=True)
+        pair_level = back(grams, [unpack(r["pair_levels"], np.uint8) for r in rows])[at].tobytes()
+        ends = np.cumsum(sizes)
+        firsts = ends - sizes
+        sums = np.add.reduceat(np.log10(counts + 0.5)[place], firsts)
+        known = np.add.reduceat((counts > 0).astype(np.int64)[place], firsts)
+        cuts = list(zip(firsts.tolist(), ends.tolist()))
+        told = [[sum(r[name] for r in rows)] + [0] * (len(ids) - 1) for name in ("total", "distinct")]
+        return pa.table(record(DOCUMENT, ids, known, sums, [level[a:b] for a, b in cuts], [pair_level[a:b] for a, b in cuts], *told))
 
     return each
 
 
-def score_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_bytes: int = MOST_BYTES
-) -> DataFrame:
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits_each: int = BITS_EACH) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    Tokens are words [^\\x20\\x09-\\x0D]+ with A-Z in lower case, and the end of the text. Chunks of
-    documents send their distinct tokens and training bigrams to the hash buckets; a bucket counts them over the whole
-    corpus, sums log10(c + 0.5) for every document that uses its tokens, and makes its block of
-    a Bloom filter that holds each n-gram at every level up to its own (counts are quantised on a
-    log scale). The filter, which is at most `most_bytes` large, is sent to the workers. A second pass probes it for
-    all training tokens to weigh bigrams against unigrams by the level of the context, and a third for all texts: `score`
+    Tokens are words [^\\x20\\x09-\\x0D]+ with A-Z in lower case, and the end of the text. Texts are read once: chunks of
+    documents send their distinct tokens and bigrams to the hash buckets. A bucket counts them over the whole
+    corpus, makes its block of a Bloom filter that holds each n-gram at every level up to its own (counts are quantised on a
+    log scale), and probes it for all tokens and bigrams that came, level after level. The levels go back to the chunks. So the filter
+    grows with the corpus, and no task or driver holds more of it than one block. Bigrams are weighed against
+    unigrams by the level of the context, over all training tokens, and `score`
     sums log10(w * c(uv) / c(u) + (1 - w) * p(v)), w the context's weight and p(v) the smoothed unigram estimate.
     Buckets and chunks are of bounded size, and hot tokens cost a row for each chunk at most.
 
     Null and empty texts have the end token only. A null id is learnt from. Without training documents all counts
     are zero. Rows with equal id and text have equal results. Starts jobs while it is built.
     """
-    spark = docs.sparkSession
     count = bucket_count(docs, text_col)
-    read = texts(docs, id_col, text_col, F.xxhash64(F.col(text_col).cast("string")).alias("digest"))
+    read = texts(docs, id_col, text_col)
 
     def send(batches):
         known = WordHashes()
-        for rows in chunks(batches, 3, _tokens(known), CHUNK_WORDS):
+        for number, rows in enumerate(chunks(batches, 2, _tokens(known), CHUNK_WORDS)):
             known.trim()
-            yield _emit(rows, count)
+            yield _emit(rows, count, number)
 
-    fields = "bucket long, chunk long, words binary, trained binary, uses binary, docs binary, times binary, pairs binary, pair_counts binary, rows long, table binary"
-    counted = read.mapInArrow(send, fields).groupBy("bucket").applyInArrow(
-        _count(count, most_bytes // count),
-        "bucket long, chunk long, sums binary, known binary, rows long, table binary, total long, distinct long, bits binary, unigram_least long",
-    )
-    counted = write_stage(counted, "lm-counts")
-    total, distinct = counted.agg(F.sum("total"), F.sum("distinct")).first()
-    total, distinct = total or 0, distinct or 0
-    blocks = {r[0]: bytes(r[1]) for r in counted.where("chunk is null").select("bucket", "bits").collect()}
-    sizes = np.array([8 * len(blocks.get(k, b"")) for k in range(count)], np.int64)
-    joined = b"".join(blocks.get(k, b"") for k in range(count)) or b"\0"
-    sent = spark.sparkContext.broadcast((joined, sizes))
-    del joined, blocks
+    counted = read.mapInArrow(send, SENT_FIELDS).groupBy("bucket").applyInArrow(_count(count, bits_each), COUNTED_FIELDS)
+    probed = write_stage(counted.groupBy("chunk").applyInArrow(_documents(count), DOCUMENT_FIELDS), "lm-levels")
+    total, distinct = (x or 0 for x in probed.agg(F.sum("total"), F.sum("distinct")).first())
     below = np.log10(total + 0.5 * (distinct + 1)) if total + distinct else np.log10(0.5)
     mass = float(10**below)
 
-    def over(batches, each):
-        data, sizes = sent.value
-        held = Filter(np.frombuffer(data, np.uint8), np.cumsum(sizes) - sizes, sizes)
-        known = WordHashes()
-        for rows in chunks(batches, 3, _tokens(known), 200_000):
-            known.trim()
-            yield each(rows, held)
-
     def weigh(batches):
         explained, seen = np.zeros(LEVELS), np.zeros(LEVELS)
-        for part in over(batches, lambda rows, held: _weigh(rows, held, mass)):
+        for batch in batches:
+            learnt = [not held_out(i) for i in batch.column(0).to_pylist()]
+            part = _weigh(batch.filter(pa.array(learnt, pa.bool_())), mass)
             explained, seen = explained + part[0], seen + part[1]
         schema = pa.schema([("level", pa.int64()), ("explained", pa.float64()), ("seen", pa.float64())])
         yield record(schema, np.arange(LEVELS), explained, seen)
 
-    left_out = F.coalesce(F.crc32(F.col("id").cast("string")) % FOLDS == HELD, F.lit(False))
-    weighed = read.where(~left_out).mapInArrow(weigh, "level long, explained double, seen double").groupBy("level").agg(F.sum("explained"), F.sum("seen"))
+    tokens = probed.select("id", "levels", "pair_levels")
+    weighed = tokens.mapInArrow(weigh, "level long, explained double, seen double").groupBy("level").agg(F.sum("explained"), F.sum("seen"))
     shares = np.zeros(LEVELS)
     for level, explained, seen in weighed.collect():
         shares[level] = min(0.95, explained / seen) if seen else 0.0
-    schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("score", pa.float64())])
-
-    def probe(batches):
-        for rows in over(batches, lambda rows, held: _scores(rows, held, mass, shares)):
-            yield record(schema, *zip(*rows))
-
-    scored = read.mapInArrow(probe, "doc_id long, digest long, held_out boolean, n_tokens long, score double")
-    sums = counted.where("chunk is not null").groupBy("chunk").applyInArrow(_documents(), "id long, digest long, sum double, n_known long")
-    sums = sums.groupBy("id", "digest").agg(F.first("sum").alias("sum"), F.first("n_known").alias("n_known"))
-    keyed = scored.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("digest", F.col("digest").bitwiseAND(F.lit(0xFFFFFFFF)))
-    return keyed.join(sums, ["id", "digest"]).select(
+    schema = pa.schema([
+        ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("sum", pa.float64()), ("score", pa.float64()),
+    ])
+
+    def score(batches):
+        for batch in batches:
+            if batch.num_rows:
+                ids = [None if i == NO_ID else i for i in batch.column(0).to_pylist()]
+                sizes, scores = _scores(batch, mass, shares)
+                yield record(schema, ids, [held_out(i) for i in ids], sizes, batch.column(3), batch.column(4), scores)
+
+    scored = probed.select("id", "levels", "pair_levels", "n_known", "sum").mapInArrow(
+        score, "doc_id long, held_out boolean, n_tokens long, n_known long, sum double, score double"
+    )
+    return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
         (F.col("sum") - F.col("n_tokens") * F.lit(float(below))).alias("base_score"), "score",
     )
 
 
-def _lookup(rows: list, held: Filter):
-    """For each token of the rows: its count, its bigram's, its context's, and that context's level; and the rows' first tokens."""
-    sizes = np.array([len(r[1]) + 1 for r in rows], np.int64)
-    tokens = np.concatenate([x for r in rows for x in (r[1], np.array([END], np.uint64))])
-    words, place = np.unique(tokens, return_inverse=True)
-    level = held.level(words)
+def _lookup(batch: pa.RecordBatch):
+    """For each token of the documents: its count, its bigram's, its context's, and that context's level; the
+    documents' first tokens, and their sizes."""
+    texts_of = batch.column(1).to_pylist()
+    sizes = np.fromiter(map(len, texts_of), np.int64, len(texts_of))
+    level = np.frombuffer(b"".join(texts_of), np.uint8)
+    pair_level = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8)
     firsts = np.cumsum(sizes) - sizes
-    before = np.concatenate([[np.uint64(START)], tokens[:-1]])
-    before[firsts] = START
-    # Every text has one start and one end, so the start's count is that of the end.
-    levels_before = np.concatenate([[0], level[place][:-1]])
-    levels_before[firsts] = held.level(np.array([END], np.uint64))[0]
-    context = mean_count(levels_before)
-    grams, at = np.unique(pairs(before, tokens, len(held.sizes)), return_inverse=True)
-    both = np.minimum(mean_count(held.level(grams))[at], context)
-    return mean_count(level)[place], both, context, np.minimum(levels_before, LEVELS - 1), firsts, sizes
+    # Every text has one start and one end, so the start's level is that of the end.
+    before = np.concatenate([[np.uint8(0)], level[:-1]])
+    before[firsts] = level[firsts + sizes - 1]
+    means = mean_count(np.arange(256))
+    context = means[before]
+    return means[level], np.minimum(means[pair_level], context), context, np.minimum(before, LEVELS - 1), firsts, sizes
 
 
-def _weigh(rows: list, held: Filter, mass: float) -> tuple[np.ndarray, np.ndarray]:
+def _weigh(batch: pa.RecordBatch, mass: float) -> tuple[np.ndarray, np.ndarray]:
     """For each level of the context: how many training tokens the bigrams explain, of how many.
 
     Each token is left out of its own counts. With even odds, the bigram's part of its probability is
     how much the bigram explains (one step of expectation maximisation).
     """
-    rows = [r for r in rows if not held_out(r[0])]
-    if not rows:
+    if not batch.num_rows:
         return np.zeros(LEVELS), np.zeros(LEVELS)
-    single, both, context, level, _, _ = _lookup(rows, held)
+    single, both, context, level, _, _ = _lookup(batch)
     gram = np.maximum(both - 1, 0) / np.maximum(context - 1, 1)
     alone = (np.maximum(single - 1, 0) + 0.5) / mass
     return np.bincount(level, weights=gram / (gram + alone), minlength=LEVELS), np.bincount(level, minlength=LEVELS).astype(float)
 
 
-def _scores(rows: list, held: Filter, mass: float, shares: np.ndarray) -> list[tuple]:
-    single, both, context, level, firsts, sizes = _lookup(rows, held)
+def _scores(batch: pa.RecordBatch, mass: float, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    single, both, context, level, firsts, sizes = _lookup(batch)
     share = np.where(context > 0, shares[level], 0.0)
     mixed = share * both / np.maximum(context, 1) + (1 - share) * (single + 0.5) / mass
-    sums = np.add.reduceat(np.log10(mixed), firsts)
-    return [(r[0], r[2], held_out(r[0]), int(n), float(s)) for r, n, s in zip(rows, sizes, sums)]
+    return sizes, np.add.reduceat(np.log10(mixed), firsts)

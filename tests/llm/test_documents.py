@@ -525,13 +525,55 @@ def test_base_scores_equal_brute_force(small):
 def test_the_filter_holds_quantised_counts():
     rnd = np.random.default_rng(1)
     keys, counts = rnd.integers(0, 2**63, 20000).astype(np.uint64), rnd.geometric(0.3, 20000)
-    bits, least = bloom_lm.block(keys, counts, 10**6)
-    held = bloom_lm.Filter(np.frombuffer(bits, np.uint8), np.array([0]), np.array([8 * len(bits)]))
-    assert least == 1 and (held.level(keys) >= bloom_lm.levels(counts)).all()
+    held = bloom_lm.Filter(bloom_lm.block(keys, counts))
+    assert (held.level(keys) >= bloom_lm.levels(counts)).all()
     assert (held.level(keys) == bloom_lm.levels(counts)).mean() > 0.95
     assert (held.level(rnd.integers(0, 2**63, 20000).astype(np.uint64)) > 0).mean() < 0.03
-    small_bits, least = bloom_lm.block(keys, counts, 8000)
-    assert len(small_bits) <= 8008 and least > 1
+    nothing = np.zeros(0, np.uint64)
+    assert not bloom_lm.Filter(bloom_lm.block(nothing, nothing)).level(keys).any()
+
+
+def test_scores_equal_brute_force(small):
+    """With a filter so wide that it has no false members, every score follows from counts in a dictionary."""
+    found = bloom_lm.score_documents(small, bits_each=2000).collect()
+    rows = [(i, [*t.lower().split(), None]) for i, t in rows_of(small)]
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows}
+    one = Counter(w for i, ws in rows if not held[i] for w in ws)
+    two = Counter(p for i, ws in rows if not held[i] for p in zip(["<start>", *ws], ws))
+    mass = sum(one.values()) + 0.5 * (len(one) + 1)
+
+    def level(c):
+        return next(q for q in range(200) if c < 1.5**q - 1e-9) if c else 0
+
+    def mean(c):
+        members = [x for x in range(1, 3 * c + 3) if level(x) == level(c)] if c else [0]
+        return (members[0] + members[-1]) / 2
+
+    means, levels = {c: mean(c) for c in {0, *one.values(), *two.values()}}, {c: level(c) for c in {0, *one.values()}}
+
+    def steps(ws):
+        for u, v in zip(["<start>", *ws], ws):
+            context = one[None] if u == "<start>" else one[u]
+            yield means[one[v]], min(means[two[u, v]], means[context]), means[context], levels[context]
+
+    explained, seen = Counter(), Counter()
+    for i, ws in rows:
+        if not held[i]:
+            for single, both, context, q in steps(ws):
+                gram, alone = max(both - 1, 0) / max(context - 1, 1), (max(single - 1, 0) + 0.5) / mass
+                explained[q] += gram / (gram + alone)
+                seen[q] += 1
+    share = {q: min(0.95, explained[q] / n) for q, n in seen.items()}
+
+    def score(ws):
+        total = 0.0
+        for single, both, context, q in steps(ws):
+            w = share.get(q, 0.0) if context else 0.0
+            total += math.log10(w * both / max(context, 1) + (1 - w) * (single + 0.5) / mass)
+        return total
+
+    expected = {i: score(ws) for i, ws in rows}
+    assert len(found) == len(rows) and all(r.score == pytest.approx(expected[r.doc_id]) for r in found)
 
 
 def test_score_prefers_what_it_has_learnt(spark):
