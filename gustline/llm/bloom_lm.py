@@ -18,6 +18,8 @@ END, START = 0x9AE16A3B2F90404F, 0xC949D7C7509E6557
 RATIO = 1.5
 #: Bits of the filter for each n-gram and level, and bits that each sets.
 BITS_EACH, PROBES = 10, 4
+#: Bytes of a bigram's hash beside its bucket: of the million or two in a bucket, about one pair is taken for another.
+PAIR_BYTES = 5
 #: Contexts of more frequent levels share the mixing weight of the last.
 LEVELS = 64
 #: Words of a chunk of documents that are packed together.
@@ -30,9 +32,9 @@ STEP, ODD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
 def pairs(left: np.ndarray, right: np.ndarray, count: int) -> np.ndarray:
-    """Hashes of token pairs, of which the bucket and 56 more bits are kept, as these are sent."""
+    """Hashes of token pairs, of which the bucket and PAIR_BYTES more are kept, as these are sent."""
     hashes, n = mix(left * ODD + mix(right)), np.uint64(count)
-    return (hashes // n & np.uint64(2**56 - 1)) * n + hashes % n
+    return (hashes // n & np.uint64(2 ** (8 * PAIR_BYTES) - 1)) * n + hashes % n
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
@@ -131,10 +133,13 @@ def _emit(rows: list, count: int, number: int) -> pa.RecordBatch:
     learnt = np.repeat([float(not held_out(r[0])) for r in rows], sizes)
     chunk = TaskContext.get().partitionId() << 40 | number << 16 | zlib.crc32(pack(tokens)) & 0xFFFF
 
-    words, place = np.unique(tokens, return_inverse=True)
+    words, place, uses = np.unique(tokens, return_inverse=True, return_counts=True)
+    # Frequent tokens get small numbers, which are stored in few bytes.
+    frequent = np.argsort(-uses, kind="stable")
+    words, place = words[frequent], np.argsort(frequent)[place]
     grams, at = np.unique(_grams(tokens, sizes, count), return_inverse=True)
     trained, counts = (np.bincount(i, weights=learnt).astype(np.uint32) for i in (place, at))
-    own = (pack(ids), pack(sizes), pack(words), pack(place.astype(np.uint32)))
+    own = (pack(ids), pack(sizes), pack(words), pa.compress(pack(place.astype(np.uint32)), "zstd", asbytes=True))
     (word_order, word_home), (gram_order, gram_home) = _dealt(words, count), _dealt(grams, count)
     used = np.unique(np.concatenate([word_home, gram_home, [chunk % count]]))
     w, g = (np.searchsorted(home, [used, used + 1]).T.tolist() for home in (word_home, gram_home))
@@ -142,7 +147,7 @@ def _emit(rows: list, count: int, number: int) -> pa.RecordBatch:
     for k, (a, b), (c, d) in zip(used.tolist(), w, g):
         x, y = word_order[a:b], gram_order[c:d]
         out.append((
-            k, chunk, pack(words[x]), pack(trained[x]), pack(grams[y] // np.uint64(count), 7), pack(counts[y]),
+            k, chunk, pack(words[x]), pack(trained[x]), pack(grams[y] // np.uint64(count), PAIR_BYTES), pack(counts[y]),
             *(own if k == chunk % count else (None,) * 4),
         ))
     return record(SENT, *zip(*out))
@@ -171,7 +176,7 @@ def _count(count: int, bits_each: int):
         bucket = rows[0]["bucket"]
         word_parts = [unpack(r["words"], np.uint64) for r in rows]
         words, totals = _summed(np.concatenate(word_parts), np.concatenate([unpack(r["trained"], np.uint32) for r in rows]))
-        gram_parts = [unpack(r["pairs"], np.uint64, 7) for r in rows]
+        gram_parts = [unpack(r["pairs"], np.uint64, PAIR_BYTES) for r in rows]
         grams, counts = _summed(np.concatenate(gram_parts), np.concatenate([unpack(r["pair_counts"], np.uint32) for r in rows]))
         keys, learnt = np.concatenate([words, grams * np.uint64(count) + np.uint64(bucket)]), np.concatenate([totals, counts])
         level = Filter(block(keys[learnt > 0], learnt[learnt > 0], bits_each)).level(keys)
@@ -207,7 +212,7 @@ def _documents(count: int):
         rows = sorted(table.to_pylist(), key=lambda r: r["bucket"])
         own = next(r for r in rows if r["ids"] is not None)
         ids, sizes, words = unpack(own["ids"], np.int64), unpack(own["sizes"], np.int64), unpack(own["hashes"], np.uint64)
-        place = unpack(own["place"], np.uint32)
+        place = unpack(pa.decompress(own["place"], 4 * int(sizes.sum()), "zstd", asbytes=True), np.uint32)
         counts = back(words, [unpack(r["word_counts"], np.int64) for r in rows])
         level = back(words, [unpack(r["word_levels"], np.uint8) for r in rows])[place].tobytes()
         grams, at = np.unique(_grams(words[place], sizes, count), return_inverse=True)
