@@ -20,6 +20,8 @@ RATIO = 1.5
 BITS_EACH, PROBES = 10, 4
 #: Bytes of a bigram's hash beside its bucket: of the million or two in a bucket, about one pair is taken for another.
 PAIR_BYTES = 5
+#: The same of a token's hash; a bucket with 400,000 tokens takes one for another with a chance of one in a million.
+WORD_BYTES = 7
 #: Contexts of more frequent levels share the mixing weight of the last.
 LEVELS = 64
 #: Words of a chunk of documents that are packed together.
@@ -31,10 +33,15 @@ NO_ID = -(2**63)
 STEP, ODD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
+def kept(hashes: np.ndarray, count: int, size: int) -> np.ndarray:
+    """The bucket and `size` more bytes of hashes, as these are sent."""
+    n = np.uint64(count)
+    return (hashes // n & np.uint64(2 ** (8 * size) - 1)) * n + hashes % n
+
+
 def pairs(left: np.ndarray, right: np.ndarray, count: int) -> np.ndarray:
-    """Hashes of token pairs, of which the bucket and PAIR_BYTES more are kept, as these are sent."""
-    hashes, n = mix(left * ODD + mix(right)), np.uint64(count)
-    return (hashes // n & np.uint64(2 ** (8 * PAIR_BYTES) - 1)) * n + hashes % n
+    """Hashes of token pairs."""
+    return kept(mix(left * ODD + mix(right)), count, PAIR_BYTES)
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
@@ -109,26 +116,25 @@ def _grams(tokens: np.ndarray, sizes: np.ndarray, count: int) -> np.ndarray:
     return pairs(before, tokens, count)
 
 
-def _dealt(keys: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order of the keys by bucket, and the buckets in that order."""
-    home = (keys % np.uint64(count)).astype(np.int64)
+def _dealt(home: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys by bucket, and the buckets in that order."""
     order = np.argsort(home, kind="stable")
     return order, home[order]
 
 
 #: What a chunk sends to the buckets; the last four stand in one row of each chunk, and pass through.
-OWN = [("ids", pa.binary()), ("sizes", pa.binary()), ("hashes", pa.binary()), ("place", pa.binary())]
+OWN = [("ids", pa.binary()), ("sizes", pa.binary()), ("homes", pa.binary()), ("place", pa.binary())]
 SENT = pa.schema([
     ("bucket", pa.int64()), ("chunk", pa.int64()), ("words", pa.binary()), ("trained", pa.binary()), ("pairs", pa.binary()),
     ("pair_counts", pa.binary()), *OWN,
 ])
-SENT_FIELDS = "bucket long, chunk long, words binary, trained binary, pairs binary, pair_counts binary, ids binary, sizes binary, hashes binary, place binary"
+SENT_FIELDS = "bucket long, chunk long, words binary, trained binary, pairs binary, pair_counts binary, ids binary, sizes binary, homes binary, place binary"
 
 
 def _emit(rows: list, count: int, number: int) -> pa.RecordBatch:
     """A chunk's distinct tokens and bigrams with their counts in training texts, by bucket."""
     sizes = np.array([len(r[1]) + 1 for r in rows], np.int64)
-    tokens = np.concatenate([x for r in rows for x in (r[1], np.array([END], np.uint64))])
+    tokens = kept(np.concatenate([x for r in rows for x in (r[1], np.array([END], np.uint64))]), count, WORD_BYTES)
     ids = np.array([NO_ID if r[0] is None else r[0] for r in rows], np.int64)
     learnt = np.repeat([float(not held_out(r[0])) for r in rows], sizes)
     chunk = TaskContext.get().partitionId() << 40 | number << 16 | zlib.crc32(pack(tokens)) & 0xFFFF
@@ -139,25 +145,25 @@ def _emit(rows: list, count: int, number: int) -> pa.RecordBatch:
     words, place = words[frequent], np.argsort(frequent)[place]
     grams, at = np.unique(_grams(tokens, sizes, count), return_inverse=True)
     trained, counts = (np.bincount(i, weights=learnt).astype(np.uint32) for i in (place, at))
-    own = (pack(ids), pack(sizes), pack(words), pa.compress(pack(place.astype(np.uint32)), "zstd", asbytes=True))
-    (word_order, word_home), (gram_order, gram_home) = _dealt(words, count), _dealt(grams, count)
+    own = (pack(ids), pack(sizes), pack((words % np.uint64(count)).astype(np.uint32)), pa.compress(pack(place.astype(np.uint32)), "zstd", asbytes=True))
+    (word_order, word_home), (gram_order, gram_home) = (_dealt((x % np.uint64(count)).astype(np.int64)) for x in (words, grams))
     used = np.unique(np.concatenate([word_home, gram_home, [chunk % count]]))
     w, g = (np.searchsorted(home, [used, used + 1]).T.tolist() for home in (word_home, gram_home))
     out = []
     for k, (a, b), (c, d) in zip(used.tolist(), w, g):
         x, y = word_order[a:b], gram_order[c:d]
         out.append((
-            k, chunk, pack(words[x]), pack(trained[x]), pack(grams[y] // np.uint64(count), PAIR_BYTES), pack(counts[y]),
+            k, chunk, pack(words[x] // np.uint64(count), WORD_BYTES), pack(trained[x]), pack(grams[y] // np.uint64(count), PAIR_BYTES), pack(counts[y]),
             *(own if k == chunk % count else (None,) * 4),
         ))
     return record(SENT, *zip(*out))
 
 
 COUNTED = pa.schema([
-    ("bucket", pa.int64()), ("chunk", pa.int64()), ("word_levels", pa.binary()), ("word_counts", pa.binary()), ("pair_levels", pa.binary()),
+    ("bucket", pa.int64()), ("chunk", pa.int64()), ("words", pa.binary()), ("word_levels", pa.binary()), ("word_counts", pa.binary()), ("pair_levels", pa.binary()),
     ("total", pa.int64()), ("distinct", pa.int64()), *OWN,
 ])
-COUNTED_FIELDS = "bucket long, chunk long, word_levels binary, word_counts binary, pair_levels binary, total long, distinct long, ids binary, sizes binary, hashes binary, place binary"
+COUNTED_FIELDS = "bucket long, chunk long, words binary, word_levels binary, word_counts binary, pair_levels binary, total long, distinct long, ids binary, sizes binary, homes binary, place binary"
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,18 +180,18 @@ def _count(count: int, bits_each: int):
     def reduce(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         bucket = rows[0]["bucket"]
-        word_parts = [unpack(r["words"], np.uint64) for r in rows]
+        word_parts = [unpack(r["words"], np.uint64, WORD_BYTES) for r in rows]
         words, totals = _summed(np.concatenate(word_parts), np.concatenate([unpack(r["trained"], np.uint32) for r in rows]))
         gram_parts = [unpack(r["pairs"], np.uint64, PAIR_BYTES) for r in rows]
         grams, counts = _summed(np.concatenate(gram_parts), np.concatenate([unpack(r["pair_counts"], np.uint32) for r in rows]))
-        keys, learnt = np.concatenate([words, grams * np.uint64(count) + np.uint64(bucket)]), np.concatenate([totals, counts])
+        keys, learnt = np.concatenate([words, grams]) * np.uint64(count) + np.uint64(bucket), np.concatenate([totals, counts])
         level = Filter(block(keys[learnt > 0], learnt[learnt > 0], bits_each)).level(keys)
         sums = (int(totals.sum()), int((totals > 0).sum()))
         out = []
         for r, own_words, own_grams in zip(rows, word_parts, gram_parts):
             x, y = np.searchsorted(words, own_words), np.searchsorted(grams, own_grams)
             own = [r[name] for name, _ in OWN]
-            out.append((bucket, r["chunk"], pack(level[x]), pack(totals[x]), pack(level[len(words) + y]), *sums, *own))
+            out.append((bucket, r["chunk"], r["words"], pack(level[x]), pack(totals[x]), pack(level[len(words) + y]), *sums, *own))
             sums = (0, 0)
         return pa.table(record(COUNTED, *zip(*out)))
 
@@ -202,21 +208,22 @@ DOCUMENT_FIELDS = "id long, n_known long, sum double, levels binary, pair_levels
 def _documents(count: int):
     """A chunk's documents: sums of log10(c + 0.5), numbers of known tokens, and the level of each token and bigram in their order."""
 
-    def back(keys: np.ndarray, parts: list) -> np.ndarray:
+    def back(home: np.ndarray, parts: list) -> np.ndarray:
         found = np.concatenate(parts)
-        out = np.empty(len(keys), found.dtype)
-        out[_dealt(keys, count)[0]] = found
+        out = np.empty(len(home), found.dtype)
+        out[_dealt(home)[0]] = found
         return out
 
     def each(table: pa.Table) -> pa.Table:
         rows = sorted(table.to_pylist(), key=lambda r: r["bucket"])
         own = next(r for r in rows if r["ids"] is not None)
-        ids, sizes, words = unpack(own["ids"], np.int64), unpack(own["sizes"], np.int64), unpack(own["hashes"], np.uint64)
+        ids, sizes, home = unpack(own["ids"], np.int64), unpack(own["sizes"], np.int64), unpack(own["homes"], np.uint32)
         place = unpack(pa.decompress(own["place"], 4 * int(sizes.sum()), "zstd", asbytes=True), np.uint32)
-        counts = back(words, [unpack(r["word_counts"], np.int64) for r in rows])
-        level = back(words, [unpack(r["word_levels"], np.uint8) for r in rows])[place].tobytes()
+        words = back(home, [unpack(r["words"], np.uint64, WORD_BYTES) * np.uint64(count) + np.uint64(r["bucket"]) for r in rows])
+        counts = back(home, [unpack(r["word_counts"], np.int64) for r in rows])
+        level = back(home, [unpack(r["word_levels"], np.uint8) for r in rows])[place].tobytes()
         grams, at = np.unique(_grams(words[place], sizes, count), return_inverse=True)
-        pair_level = back(grams, [unpack(r["pair_levels"], np.uint8) for r in rows])[at].tobytes()
+        pair_level = back((grams % np.uint64(count)).astype(np.int64), [unpack(r["pair_levels"], np.uint8) for r in rows])[at].tobytes()
         ends = np.cumsum(sizes)
         firsts = ends - sizes
         sums = np.add.reduceat(np.log10(counts + 0.5)[place], firsts)
