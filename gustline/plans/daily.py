@@ -25,6 +25,12 @@ def raw_readings(readings: DataFrame) -> DataFrame:
     )
 
 
+def _create(spark: SparkSession, out_dir: str, database: str) -> None:
+    tables.create_raw_database(spark, f"{out_dir}/{database}", database)
+    for name, folder in FOLDERS.items():
+        tables.create_raw_table(spark, name, f"{out_dir}/{folder}", database)
+
+
 def land_sets(
     spark: SparkSession, sets: dict[str, DataFrame], date: str, out_dir: str, database: str = tables.RAW_DATABASE
 ) -> None:
@@ -35,9 +41,7 @@ def land_sets(
     its folders are garbage for `versions.remove_old`. What was committed by a load that broke off before the
     catalog followed comes in with the next load of the date, or with `versions.follow`.
     """
-    tables.create_raw_database(spark, f"{out_dir}/{database}", database)
-    for name, folder in FOLDERS.items():
-        tables.create_raw_table(spark, name, f"{out_dir}/{folder}", database)
+    _create(spark, out_dir, database)
     written = {
         name: versions.write_day(sets[folder], f"{out_dir}/{folder}", date) for name, folder in FOLDERS.items() if folder in sets
     }
@@ -45,6 +49,25 @@ def land_sets(
     versions.follow(spark, f"{out_dir}/{LOADS}", database, date)
 
 
+def land_history(
+    spark: SparkSession, sets: dict[str, DataFrame], out_dir: str, database: str = tables.RAW_DATABASE, date: str = "date"
+) -> list[str]:
+    """Replace, in each raw table, all days that occur in its set, of all tables together or not at all; returns the days.
+
+    `date` names the column with the ISO date, which is not landed. Days that do not occur stay as they are. Each set is
+    written in one pass; what `land_sets` says of loads that break off holds here.
+    """
+    _create(spark, out_dir, database)
+    written = {
+        name: versions.write_days(sets[folder], f"{out_dir}/{folder}", date) for name, folder in FOLDERS.items() if folder in sets
+    }
+    days = sorted({day for found in written.values() for day in found})
+    versions.commit_days(spark, f"{out_dir}/{LOADS}", written)
+    if days:
+        versions.follow(spark, f"{out_dir}/{LOADS}", database, days)
+    return days
+
+
 def run_batch(
     spark: SparkSession,
     raw_dir: str,

@@ -6,7 +6,7 @@ from uuid import uuid4
 import pytest
 
 from gustline.operators.quality import ValidationError
-from gustline.plans.daily import LOADS, land_sets, run_batch
+from gustline.plans.daily import LOADS, land_history, land_sets, run_batch
 from gustline.sources import landing, tables, versions
 
 
@@ -135,3 +135,39 @@ def test_a_new_catalog_follows_the_log_of_loads(spark, folder):
     versions.follow(spark, f"{folder}/{LOADS}", again)
     assert names(spark, database) == names(spark, again) == [["b", "d"], ["b"]]
     assert versions.loads(spark, f"{folder}/{LOADS}").count() == 6
+
+
+def dated(frame, *days):
+    """The rows of a frame, each on one of the days in turn."""
+    spark = frame.sparkSession
+    rows = [(*row, day) for row, day in zip(frame.collect(), days)]
+    return spark.createDataFrame(rows, f"{frame.schema.simpleString()[7:-1].replace(':', ' ')}, date string")
+
+
+def test_many_days_are_replaced_together_or_not_at_all(spark, folder):
+    database, days = f"bronze_{uuid4().hex}", ("2024-03-01", "2024-03-02", "2024-03-03")
+
+    def load(cities, symbols, days=days):
+        return land_history(spark, {"weather": dated(weather(spark, *cities), *days), "stock": dated(stock(spark, *symbols), *days)}, folder, database)
+
+    assert load("abc", "stu") == list(days)
+    assert names(spark, database) == [["a", "b", "c"], ["s", "t", "u"]]
+    broken = dated(stock(spark, "x", "y"), *days).selectExpr("raise_error(symbol) AS symbol", "date")
+    with pytest.raises(Exception, match="x|y"):
+        land_history(spark, {"weather": dated(weather(spark, *"xyz"), *days), "stock": broken}, folder, database)
+    undated = dated(weather(spark, "x", "y"), "2024-03-01", None)
+    with pytest.raises(Exception, match="no ISO date"):
+        land_history(spark, {"weather": undated}, folder, database)
+    assert names(spark, database) == [["a", "b", "c"], ["s", "t", "u"]]
+    # Two days again, and one of them as a day of its own after that.
+    assert load("de", "vw", days[1:]) == list(days[1:])
+    land_sets(spark, {"weather": weather(spark, "f")}, days[2], folder, database)
+    assert names(spark, database) == [["a", "d", "f"], ["s", "v", "w"]]
+    assert land_history(spark, {"weather": dated(weather(spark, "g"), days[0]).where("false")}, folder, database) == []
+
+    def removed(day):
+        return len(versions.remove_old(spark, f"{folder}/{LOADS}", f"{folder}/weather", day, older_than_seconds=-60))
+
+    # The first version of the first day counts; of each later one's, those of the first, the broken and, on the third, the second load are old.
+    assert (removed(days[0]), removed(days[1]), removed(days[2])) == (1, 2, 3)
+    assert names(spark, database) == [["a", "d", "f"], ["s", "v", "w"]]
