@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gustline.operators.quality import READING_KEYS, ValidationError, validate
@@ -17,11 +17,11 @@ FOLDERS = {"weather_data": "weather", "financial_data": "stock"}
 LOADS = "loads"
 
 
-def raw_readings(readings: DataFrame) -> DataFrame:
-    """Readings in the columns and types of the raw table."""
+def raw_readings(readings: DataFrame, *more: Column) -> DataFrame:
+    """Readings in the columns and types of the raw table, and what else is asked for."""
     stamped = readings.withColumn("record_timestamp", F.col("ingested_at"))
     return stamped.select(
-        [F.col(field.name).cast(field.dataType) for field in RAW_TABLES["weather_data"]]
+        *[F.col(field.name).cast(field.dataType) for field in RAW_TABLES["weather_data"]], *more
     )
 
 

@@ -8,25 +8,28 @@ from pyspark.sql import functions as F
 
 from gustline.operators import matches as m
 from gustline.operators.alerts import explode_anomalies
-from gustline.operators.readings import flatten_payloads
+from gustline.operators.readings import flatten_payloads, parse_payloads
 from gustline.operators.suppression import KEYS, last_emissions, suppress_repeats
 from gustline.operators.thresholds import threshold_alerts
 from gustline.operators.windows import EVENT_TIME
 from gustline.plans import given
-from gustline.plans.daily import land_sets, raw_readings
+from gustline.plans.daily import land_history, land_sets, raw_readings
 from gustline.plans.given import comparable
-from gustline.plans.queries import ARRIVALS, STAMP, _alerts, _arrivals, _drained_topic
+from gustline.plans.queries import ARRIVALS, SCHEMA_ID, STAMP, _alerts, _arrivals, _drained_topic
 from gustline.schemas import READING, READING_V2
-from gustline.sources.envelopes import alert_envelopes, decode_alerts, decode_versions, once, publish, read_topic
+from gustline.sources.envelopes import alert_envelopes, decode_alerts, decode_versions, once, publish, read_readings, read_topic
+from gustline.sources.polls import archived_payloads, read_payloads
 from gustline.sources.shared import fresh_path, write_stage
 from gustline.sources.sinks import ALERT_TOPIC, write_rows
 from gustline.streaming.accounts import Accounts, accounts, counted
 from gustline.streaming.audit import held_emissions
+from gustline.streaming.feeds import READING_TOPIC, publish_readings, start_feed
 from gustline.streaming.jobs import drain, state_settings
 from gustline.streaming.suppression import suppress_repeats_stream
 
 RELOADED = "2024-01-05"
 HANDOVER = "2024-01-15"
+RELOADED_FROM = "2024-01-20"
 
 
 def match_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +76,82 @@ def daily_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+def history_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days of both tables in one load; a reload of all that breaks in the second table; a reload of the last days of one.
+
+    Shows what a reader finds after each.
+    """
+    root = fresh_path(spark, "history")
+    database = f"bronze_{root.rsplit('-', 1)[-1]}"
+    readings = flatten_payloads(given.reading_payloads(spark, sf_dir), F.lit(STAMP))
+    day = F.date_format(F.timestamp_seconds("dt"), "yyyy-MM-dd").alias("date")
+    weather = write_stage(raw_readings(readings, day), "readings")
+    stock = given.prices(spark, sf_dir)
+    newer = weather.withColumn("city", F.upper("city"))
+    broken = stock.withColumn("volume", F.when(F.col("symbol") == "5-LOW", F.raise_error(F.lit("the disk is full")).cast("int")).otherwise(F.col("volume")))
+
+    def found(phase: str) -> DataFrame:
+        both = [
+            spark.table(f"{database}.{table}").groupBy("year", "month", "day", F.col(name).alias("name")).agg(
+                F.count("*").alias("n_rows"), F.round(F.max(top), given.PLACES).alias("top"))
+            for table, name, top in (("weather_data", "city", "temperature"), ("financial_data", "symbol", "close"))
+        ]
+        return write_stage(both[0].unionByName(both[1]).withColumn("phase", F.lit(phase)), "found")
+
+    def load(sets: dict[str, DataFrame]) -> None:
+        land_history(spark, sets, f"{root}/raw", database)
+
+    load({"weather": weather, "stock": stock})
+    phases = [found("loaded")]
+    try:
+        load({"weather": newer, "stock": broken})
+    except Exception as error:
+        phases.append(found("broken" if "the disk is full" in str(error) else "broken otherwise"))
+    load({"weather": newer.filter(F.col("date") >= RELOADED_FROM)})
+    phases.append(found("reloaded"))
+    rows = phases[0]
+    for phase in phases[1:]:
+        rows = rows.unionByName(phase)
+    return rows
+
+
+def archived_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings polled in three arrivals, whose files go to an archive; the second is read, lost before it is sent, and read again.
+
+    Shows each reading that was sent, how often, and where its poll lies: those of the last trigger still in the folder.
+    """
+    root, lost = fresh_path(spark, "polls"), []
+    payloads = given.reading_payloads(spark, sf_dir)
+    at = F.timestamp_seconds(F.get_json_object("value", "$.dt").cast("bigint"))
+    number = sum((at >= F.lit(day).cast("timestamp")).cast("int") for day in ARRIVALS)
+
+    def send(batch: DataFrame, **target) -> None:
+        if arrival == 1 and not lost:
+            lost.append(arrival)
+            raise RuntimeError("lost before sending")
+        publish_readings(batch, **target)
+
+    for arrival in range(len(ARRIVALS) + 1):
+        payloads.filter(number == arrival).write.mode("append").text(f"{root}/in/polls")
+        for _ in range(2):
+            stream = read_payloads(spark, f"{root}/in/polls", archive=f"{root}/read/archive")
+            query = start_feed(stream, send, f"{root}/checkpoint", available_now=True, schema_id=SCHEMA_ID, kind="files", folder=f"{root}/topics")
+            try:
+                drain(query)
+                break
+            except StreamingQueryException as error:
+                if "lost before sending" not in str(error):
+                    raise
+    sent = read_readings(read_topic(spark, READING_TOPIC, "files", folder=f"{root}/topics", streaming=False), READING)
+    sent = sent.groupBy("id").agg(F.count("*").alias("n_sent"), F.max("dt").alias("dt"))
+
+    def lying(polls: DataFrame, name: str) -> DataFrame:
+        return parse_payloads(polls).select("reading.id", F.lit(name).alias("lies"))
+
+    polls = lying(archived_payloads(spark, f"{root}/read/archive"), "archive").unionByName(lying(spark.read.text(f"{root}/in/polls"), "folder"))
+    return sent.join(polls, "id", "full").select("id", "n_sent", "dt", "lies")
+
+
 def suppression_handover(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first days' alerts suppressed as a batch, the others by a stream that begins with what the batch emitted last."""
     rows = write_stage(explode_anomalies(_alerts(spark, sf_dir)), "anomalies")
@@ -193,6 +272,8 @@ def delivery_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "archived_polls": archived_polls,
+    "history_reload": history_reload,
     "frame_versions": frame_versions,
     "alerts_once": alerts_once,
     "delivery_accounts": delivery_accounts,

@@ -3,6 +3,25 @@
 from gustline.plans.oracles import ALERTS, CHAIN, CLOSED_ALERTS, PAYLOADS, RAISED, READINGS, THRESHOLDS, _with
 
 ORACLES = {
+    "archived_polls": _with(READINGS, PAYLOADS) + """
+SELECT id, CAST(1 AS BIGINT) AS n_sent, dt, CASE WHEN dt >= epoch(TIMESTAMP '2024-01-20') THEN 'folder' ELSE 'archive' END AS lies FROM flat""",
+    "history_reload": _with(READINGS, PAYLOADS) + """,
+weather AS (
+  SELECT strftime(make_timestamp(dt * 1000000), '%Y-%m-%d') AS date, city AS name, count(*) AS n_rows, max(temperature) AS top
+  FROM flat GROUP BY 1, 2
+),
+stock AS (
+  SELECT strftime(o_orderdate, '%Y-%m-01') AS date, o_orderpriority AS name, count(*) AS n_rows, round(max(CAST(o_totalprice AS DOUBLE) + 1), 6) AS top
+  FROM orders GROUP BY 1, 2
+),
+phases AS (
+  SELECT phase, date, name, n_rows, top FROM (SELECT * FROM weather UNION ALL SELECT * FROM stock), (SELECT unnest(['loaded', 'broken']) AS phase)
+  UNION ALL
+  SELECT 'reloaded', date, CASE WHEN date >= '2024-01-20' THEN upper(name) ELSE name END, n_rows, top FROM weather
+  UNION ALL
+  SELECT 'reloaded', * FROM stock
+)
+SELECT phase, date[1:4] AS year, date[6:7] AS month, date[9:10] AS day, name, n_rows, top FROM phases""",
     "frame_versions": _with(READINGS, PAYLOADS) + """,
 told AS (
   SELECT *, CASE WHEN id % 23 = 0 THEN NULL WHEN id % 19 = 0 THEN 99 WHEN id % 2 = 0 THEN 7 ELSE 8 END AS schema_id

@@ -17,6 +17,7 @@ from gustline.plans import given
 from gustline.schemas import ALERT
 from gustline.operators.quality import ValidationError
 from gustline.sources.envelopes import TRIGGER_LIMITS, alert_envelopes, decode_alerts, once, publish, read_topic
+from gustline.sources.polls import archived_payloads, read_payloads
 from gustline.sources.shared import CHECKPOINT_SETTING, shared_folder
 from gustline.sources.sinks import write_alerts, write_console, write_rows
 from gustline.streaming.accounts import Accounts, accounts, counted
@@ -374,3 +375,20 @@ def test_shared_folder_follows_the_session(spark):
         assert shared_folder(spark) == configured.rstrip("/")
     else:
         assert shared_folder(spark) == spark.sparkContext.getCheckpointDir()
+
+
+def test_read_polls_move_to_the_archive_when_the_next_trigger_begins(spark, folder):
+    def names(frame):
+        return sorted(row.value for row in frame.collect())
+
+    def poll(*payloads):
+        spark.createDataFrame([(p,) for p in payloads], "value STRING").coalesce(1).write.mode("append").text(f"{folder}/in/polls")
+        stream = read_payloads(spark, f"{folder}/in/polls", archive=f"{folder}/read/archive")
+        drain(write_rows(stream, f"{folder}/checkpoint", f"{folder}/rows", available_now=True))
+        return names(spark.read.parquet(f"{folder}/rows")), names(spark.read.text(f"{folder}/in/polls"))
+
+    assert poll("a", "b") == (["a", "b"], ["a", "b"])
+    assert poll("c") == (["a", "b", "c"], ["c"])
+    assert names(archived_payloads(spark, f"{folder}/read/archive")) == ["a", "b"]
+    assert poll() == (["a", "b", "c"], [])
+    assert names(archived_payloads(spark, f"{folder}/read/archive")) == ["a", "b", "c"]
