@@ -20,7 +20,12 @@ def change_alerts(readings: DataFrame) -> DataFrame:
     """
     if readings.isStreaming:
         readings = readings.withWatermark(EVENT_TIME, WATERMARK)
-    labelled = change_features(window_stats(readings)).filter(rules.any_label())
+    return labelled_alerts(window_stats(readings))
+
+
+def labelled_alerts(stats: DataFrame) -> DataFrame:
+    """The alerts of window statistics, however they were made."""
+    labelled = change_features(stats).filter(rules.any_label())
     extremes = {
         "window_start": "time_window.start",
         "max_temp": "max_temp_info.temperature",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gustline.operators import matches as m
 from gustline.operators.alerts import explode_anomalies
+from gustline.operators.changes import labelled_alerts
 from gustline.operators.readings import flatten_payloads, parse_payloads
 from gustline.operators.suppression import KEYS, last_emissions, suppress_repeats
 from gustline.operators.thresholds import threshold_alerts
@@ -15,7 +16,7 @@ from gustline.operators.windows import EVENT_TIME
 from gustline.plans import given
 from gustline.plans.daily import land_history, land_sets, raw_readings
 from gustline.plans.given import comparable
-from gustline.plans.queries import ARRIVALS, SCHEMA_ID, STAMP, _alerts, _arrivals, _drained_topic
+from gustline.plans.queries import ARRIVALS, LATE_FROM_DAY, LATE_VISIBILITY, SCHEMA_ID, STAMP, _alerts, _arrivals, _drained_topic
 from gustline.schemas import READING, READING_V2
 from gustline.sources.envelopes import alert_envelopes, decode_alerts, decode_versions, once, publish, read_readings, read_topic
 from gustline.sources.polls import archived_payloads, read_payloads
@@ -25,6 +26,7 @@ from gustline.streaming.accounts import Accounts, accounts, counted
 from gustline.streaming.audit import held_emissions
 from gustline.streaming.feeds import READING_TOPIC, publish_readings, start_feed
 from gustline.streaming.jobs import drain, state_settings
+from gustline.streaming.panes import pane_stats_stream
 from gustline.streaming.suppression import suppress_repeats_stream
 
 RELOADED = "2024-01-05"
@@ -271,7 +273,37 @@ def delivery_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return told.select(F.row_number().over(Window.orderBy("batch")).alias("part"), "rows_in", "rows_out", "rows_late")
 
 
+def stream_pane_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The arrivals of `stream_late_data`, with panes as state: late readings miss the windows that are closed and no others."""
+    root, r = fresh_path(spark, "stream-panes"), given.readings(spark, sf_dir)
+    early = (F.col("visibility") > LATE_VISIBILITY) & (F.col(EVENT_TIME) < F.lit(LATE_FROM_DAY).cast("timestamp"))
+    for arrival in (early, ~early):
+        r.filter(arrival).write.mode("append").parquet(f"{root}/feed")
+        stats = pane_stats_stream(spark.readStream.schema(r.schema).parquet(f"{root}/feed"))
+        with state_settings(spark):
+            drain(write_rows(stats, f"{root}/checkpoint", f"{root}/rows", available_now=True))
+    return comparable(spark.read.parquet(f"{root}/rows").select(
+        "city", "country", F.col("time_window.start").alias("window_start"), "avg_temp", "min_wind",
+        F.col("max_temp_info.temperature").alias("max_temp"), F.col(f"max_temp_info.{EVENT_TIME}").alias("max_temp_time"),
+    ))
+
+
+def stream_pane_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change alerts of a stream whose windows are made of panes."""
+    root = fresh_path(spark, "stream-pane-alerts")
+    alerts = labelled_alerts(pane_stats_stream(given.reading_stream(spark, sf_dir)))
+    with state_settings(spark):
+        drain(write_rows(alerts, f"{root}/checkpoint", f"{root}/rows", available_now=True))
+    return comparable(spark.read.parquet(f"{root}/rows").select(
+        "city", "country", "window_start", "max_temp", "max_temp_time", "min_temp", "min_temp_time", "temp_rise", "temp_fall",
+        "temp_change_anomaly", "max_wind", "wind_rise", "wind_change_anomaly", "min_pressure", "pressure_drop", "pressure_change_anomaly",
+        "max_humidity", "humidity_rise", "humidity_change_anomaly", "min_visibility", "visibility_change_anomaly",
+    ))
+
+
 QUERIES = {
+    "stream_pane_stats": stream_pane_stats,
+    "stream_pane_alerts": stream_pane_alerts,
     "archived_polls": archived_polls,
     "history_reload": history_reload,
     "frame_versions": frame_versions,

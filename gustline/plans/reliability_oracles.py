@@ -1,8 +1,11 @@
 """The same results in SQL as the queries of `reliability`."""
 
 from gustline.plans.oracles import ALERTS, CHAIN, CLOSED_ALERTS, PAYLOADS, RAISED, READINGS, THRESHOLDS, _with
+from gustline.plans.oracles import ORACLES as PLAIN
 
 ORACLES = {
+    "stream_pane_stats": PLAIN["stream_late_data"],
+    "stream_pane_alerts": PLAIN["stream_change_alerts"],
     "archived_polls": _with(READINGS, PAYLOADS) + """
 SELECT id, CAST(1 AS BIGINT) AS n_sent, dt, CASE WHEN dt >= epoch(TIMESTAMP '2024-01-20') THEN 'folder' ELSE 'archive' END AS lies FROM flat""",
     "history_reload": _with(READINGS, PAYLOADS) + """,

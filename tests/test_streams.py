@@ -25,6 +25,7 @@ from gustline.streaming.audit import held_emissions
 from gustline.streaming.delivery import start_notifications
 from gustline.streaming.feeds import publish_history, publish_matches, publish_readings, start_feed
 from gustline.streaming.jobs import SHUFFLES, delivered, drain, start_detectors, state_settings
+from gustline.streaming.panes import pane_stats_stream
 from gustline.streaming.suppression import AT, first_per_time, suppress_repeats_stream
 
 FEW = 2
@@ -392,3 +393,65 @@ def test_read_polls_move_to_the_archive_when_the_next_trigger_begins(spark, fold
     assert names(archived_payloads(spark, f"{folder}/read/archive")) == ["a", "b"]
     assert poll() == (["a", "b", "c"], [])
     assert names(archived_payloads(spark, f"{folder}/read/archive")) == ["a", "b", "c"]
+
+
+def through_panes(stream):
+    return pane_stats_stream(stream).select("city", "time_window.start", "min_humidity", "max_humidity_info.humidity")
+
+
+def test_panes_drop_late_rows_per_window(spark, folder):
+    arrivals = [
+        [reading(minute=10, humidity=90), reading(minute=60, humidity=91)],
+        [reading(minute=40, humidity=40), reading(minute=20, humidity=20)],
+        [reading(minute=180, humidity=92)],
+    ]
+    found = {}
+    for name, stats in (("plain", windows), ("panes", through_panes)):
+        for rows in arrivals:
+            out, query = run(spark, f"{folder}/{name}", stats(feed(spark, f"{folder}/{name}", rows)))
+        found[name] = sorted(map(tuple, out.collect()))
+    assert found["panes"] == found["plain"]
+    assert any(row[2] == 40 for row in found["panes"])
+
+
+def test_panes_equal_plain_windows_with_empty_readings_and_ties(spark, folder):
+    rows = [
+        reading(minute=m, humidity=h, temperature=t, visibility=v, wind_speed=w, country=c)
+        for m, h, t, v, w, c in [
+            (0, None, 1.5, 10, None, "VN"), (1, 50, 1.5, None, None, "VN"), (4, 50, None, 10, None, "VN"), (4, 50, None, 10, None, "VN"),
+            (7, None, float("nan"), 10, 2.0, None), (8, 3, -1.0, 9, float("nan"), None), (200, 7, 0.0, 1, 1.0, "VN"), (200, 7, 0.0, 1, 1.0, None),
+        ]
+    ]
+    found = {}
+    for name, stats in (("plain", lambda s: window_stats(s.withWatermark(EVENT_TIME, WATERMARK))), ("panes", pane_stats_stream)):
+        out, _ = run(spark, f"{folder}/{name}", stats(feed(spark, f"{folder}/{name}", rows)))
+        found[name] = out
+    assert found["panes"].schema.simpleString() == found["plain"].schema.simpleString()
+    assert found["plain"].count() == 12
+    text = lambda frame: sorted(r[0] for r in frame.select(F.to_json(F.struct(*found["plain"].columns))).collect())
+    assert text(found["panes"]) == text(found["plain"])
+
+
+def test_panes_hold_a_sixth_of_the_state(spark, folder):
+    rows = [reading(minute=m) for m in range(0, 60 * 40, 40)]
+    held = {}
+    for name, stats in (("plain", windows), ("panes", through_panes)):
+        stream = feed(spark, f"{folder}/{name}", rows)
+        spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+        try:
+            _, query = run(spark, f"{folder}/{name}", stats(stream))
+        finally:
+            spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+        progress = json.loads(query.lastProgress.json)
+        held[name] = progress["stateOperators"][0]["numRowsTotal"]
+    assert held["plain"] == 6 * len(rows)
+    # Besides the panes: when the place was last seen, and its timer by key and by time.
+    assert held["panes"] <= len(rows) + 3
+
+
+def test_panes_go_when_their_windows_are_closed(spark, folder):
+    for start in (0, 300, 600):
+        rows = [reading(minute=start + m, city=f"c{start}-{m}") for m in range(40)] + [reading(minute=start + 200, city="clock")]
+        _, query = run(spark, folder, through_panes(feed(spark, folder, rows)))
+        progress = json.loads(query.lastProgress.json)
+        assert progress["stateOperators"][0]["numRowsTotal"] <= 6
