@@ -16,8 +16,8 @@ from gustline.sources.shared import write_stage
 BITS = 3
 #: So many of 8 bytes stay whole where BITS bits differ.
 SHARED = 8 - BITS
-#: Among the first INDEXED bytes at least INDEXED - BITS stay whole, so a pair meets in one triple.
-INDEXED = 6
+#: Among the first INDEXED bytes at least INDEXED - BITS stay whole, so a pair meets in one set of four.
+INDEXED = 7
 
 
 def fingerprint(text: bytes | None, width: int = 3) -> int:
@@ -68,15 +68,15 @@ def near_groups(marked: DataFrame) -> DataFrame:
 
     A list of the rows that have one byte at one position would hold a 256th of all
     rows, and its pairs would grow with their square. Count filtering gives more: two
-    fingerprints that differ in 3 bits share 5 of 8 positional bytes at least, so 3 of any 6
-    positions. The lists are kept by 3 positional bytes (20 of them for each fingerprint), the
-    shared bytes of each pair that meets are tallied, pairs with 5 or more are verified by
-    their bits. Rows with equal fingerprints are one class before that.
+    fingerprints that differ in 3 bits share 5 of 8 positional bytes at least, so 4 of any 7
+    positions. The lists are kept by 4 positional bytes (35 of them for each fingerprint, each with a
+    2^32nd of all rows if bits fall evenly), the shared bytes of each pair that meets are tallied, pairs
+    with 5 or more are verified by their bits. Rows with equal fingerprints are one class before that.
     """
     classes = write_stage(marked.groupBy("bits").agg(F.min("id").alias("least")), "classes")
     keys = [
-        F.lit(number * 2**24) + _byte(F.col("bits"), a) * 65536 + _byte(F.col("bits"), b) * 256 + _byte(F.col("bits"), c)
-        for number, (a, b, c) in enumerate(combinations(range(INDEXED), INDEXED - BITS))
+        sum((F.shiftleft(_byte(F.col("bits"), p), 8 * k) for k, p in enumerate(places)), F.lit(number * 2**32))
+        for number, places in enumerate(combinations(range(INDEXED), INDEXED - BITS))
     ]
     members = classes.select(F.explode(F.array(*keys)).alias("key"), F.col("bits").alias("id"), "bits")
     linked = write_stage(bucket_components(members, _linked()), "linked")
