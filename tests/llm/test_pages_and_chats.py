@@ -135,6 +135,35 @@ def test_large_hosts_are_cut_into_blocks(spark):
     assert {r.text for r in host_boilerplate.main_text(frame).collect()} == {f"own{i}" for i in range(n)}
 
 
+def test_a_template_on_few_pages_of_a_large_host_goes(spark):
+    rnd = random.Random(5)
+    template = " ".join(f"t{i}" for i in range(12))
+    own = [" ".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=30)) + f" own{i}" for i in range(5000)]
+    shown = [f"<p>{own[i]}</p>" + (f"<p>{template}</p>" if i % 20 == 0 else "") for i in range(5000)]
+    rows = [(i, f"http://h.net/{i}", x) for i, x in enumerate(shown)]
+    # Copies in different blocks keep their text; a run of two pages only goes, wherever they are.
+    rows += [(10_000 + i, f"http://h.net/copy{i}", f"<p>{own[7]}</p>") for i in range(40)]
+    rows += [(20_000 + i, f"http://h.net/two{i}", f"<p>one two three four five six seven eight nine</p>{i}") for i in range(2)]
+    found = {r.page_id: r.text for r in host_boilerplate.main_text(pages(spark, rows)).collect()}
+    assert all(found[i] == own[i] for i in range(5000)) and all(found[10_000 + i] == own[7] for i in range(40))
+    assert [found[20_000 + i] for i in range(2)] == ["0", "1"]
+
+
+def test_runs_of_a_host_equal_brute_force_in_any_blocks(spark):
+    rnd, run = random.Random(9), 3
+    texts = [" ".join(rnd.choices("abcdef", k=rnd.randrange(0, 14))) for _ in range(600)]
+    found = {r.page_id: r.text for r in host_boilerplate.main_text(pages(spark, [(i, f"http://h.net/{i}", t) for i, t in enumerate(texts)]), run=run).collect()}
+    having = {}
+    for text in set(texts):
+        words = text.split()
+        for k in range(len(words) - run + 1):
+            having.setdefault(tuple(words[k : k + run]), set()).add(text)
+    for i, text in enumerate(texts):
+        words = text.split()
+        gone = {k + j for k in range(len(words) - run + 1) if len(having[tuple(words[k : k + run])]) > 1 for j in range(run)}
+        assert found[i] == " ".join(w for k, w in enumerate(words) if k not in gone)
+
+
 # Chats
 
 
