@@ -605,3 +605,40 @@ def test_scores_of_awkward_rows(spark, awkward, nothing):
     held = next(i for i in range(100) if bloom_lm.held_out(i))
     alone = bloom_lm.score_documents(documents(spark, [(held, "a b", "")])).first()
     assert (alone.train_tokens, alone.n_known, alone.n_tokens) == (0, 0, 3)
+
+
+BASE_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM 'SF/documents.parquet'),
+w AS (SELECT doc_id, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS word, generate_subscripts(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), 1) AS pos FROM d),
+t AS (
+  SELECT *, CASE WHEN lead(pos, 2) OVER p IS NOT NULL THEN word || ' ' || lead(word, 1) OVER p || ' ' || lead(word, 2) OVER p END AS three
+  FROM w WINDOW p AS (PARTITION BY doc_id ORDER BY pos)
+),
+c AS (SELECT *, three IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, three) > 1 AS again FROM t),
+r AS (
+  SELECT *, again OR coalesce(lag(again, 1) OVER p, false) OR coalesce(lag(again, 2) OVER p, false) AS covered
+  FROM c WINDOW p AS (PARTITION BY doc_id ORDER BY pos)
+),
+per AS (SELECT doc_id, count(*) AS n_words, sum(length(word)) AS word_chars, count(*) FILTER (covered) AS n_repeat_words FROM r GROUP BY 1),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d),
+dup AS (
+  SELECT doc_id, sum(n - 1) AS n_dup_lines FROM (SELECT doc_id, line, count(*) AS n FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY 1, 2) GROUP BY 1
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+       coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+       coalesce(n_words, 0) < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+FROM d LEFT JOIN per USING (doc_id) LEFT JOIN dup USING (doc_id)
+"""
+
+
+def test_base_counts_of_whole_tables_equal_sql(spark):
+    import duckdb
+
+    from gustline.llm.queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    told = duckdb.sql(f"SELECT {', '.join(names)} FROM ({BASE_SQL.replace('SF', folder)})").fetchall()
+    found = [tuple(r) for r in QUERIES["op5_fertility"](spark, folder).select(*names).collect()]
+    assert sorted(found) == sorted(tuple(int(x) if not isinstance(x, bool) else x for x in row) for row in told)
+    assert len(found) >= 200 and any(row[4] for row in found) and any(row[5] for row in found)
