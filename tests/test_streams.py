@@ -26,7 +26,7 @@ from gustline.streaming.delivery import start_notifications
 from gustline.streaming.feeds import publish_history, publish_matches, publish_readings, start_feed
 from gustline.streaming.jobs import SHUFFLES, delivered, drain, start_detectors, state_settings
 from gustline.streaming.panes import pane_stats_stream
-from gustline.streaming.suppression import AT, first_per_time, suppress_repeats_stream
+from gustline.streaming.suppression import AT, BUCKETS, first_per_time, suppress_repeats_stream
 
 FEW = 2
 
@@ -162,6 +162,24 @@ def test_rows_behind_the_watermark_are_dropped_where_state_expires(spark, folder
     assert sorted(r.id for r in out.collect()) == [1, 2, 4]
 
 
+def test_expiring_keys_share_groups(spark, folder):
+    """Many keys, some null, some in numbers, are fewer groups than buckets; each has its own chain over two arrivals."""
+    kind = F.when(F.col("id") % 5 > 0, F.concat(F.lit("k"), F.col("id") % 5))
+    user = F.when(F.col("id") % 1900 > 0, F.col("id") % 1900 + F.lit(2**40))
+    at = F.timestamp_seconds(F.lit(1_709_251_200) + F.floor(F.col("id") / 3) + F.when(F.col("id") % 2 == 0, 1000).otherwise(0))
+    rows = spark.range(9500).select(kind.alias("kind"), user.alias("user"), at.alias("at"), "id")
+    for part in (F.col("id") < 5000, F.col("id") >= 5000):
+        rows.where(part).write.mode("append").parquet(f"{folder}/feed")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/feed")
+        out, query = run(spark, folder, suppress_repeats_stream(stream, ("kind", "user"), "at", ("id",), late="2 hours"))
+        n_groups = max(p["stateOperators"][0]["customMetrics"]["numRegisteredTimers"] for p in query.recentProgress)
+        assert 0 < n_groups <= BUCKETS
+    n_keys = rows.select("kind", "user").distinct().count()
+    assert n_keys > 1500 and held_emissions(spark, f"{folder}/checkpoint", "at").select("kind", "user").distinct().count() == n_keys
+    batch = suppress_repeats(rows, ("kind", "user"), "at", ("id",))
+    assert out.count() == batch.count() > n_keys and out.exceptAll(batch).count() == 0
+
+
 @pytest.mark.parametrize("late", [None, "1 hour"])
 def test_a_stream_goes_on_where_a_batch_ended(spark, folder, late):
     past, new = [(1, 0, 1), (1, 31, 2), (2, 40, 3), (3, None, 4)], [(1, 60, 5), (1, 61, 6), (2, 69, 7), (4, 50, 8), (2, 70, 9)]
