@@ -164,6 +164,22 @@ def test_runs_of_a_host_equal_brute_force_in_any_blocks(spark):
         assert found[i] == " ".join(w for k, w in enumerate(words) if k not in gone)
 
 
+def test_runs_of_articles_are_counted_over_the_whole_host(spark):
+    """A notice on 85 % of the different articles goes from all of them, one on 75 % from none, whatever block a page is in; copies count once."""
+    rnd, n = random.Random(6), 3000
+    most, many = (" ".join(f"{name}{i}" for i in range(9)) for name in ("most", "many"))
+    own = [" ".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=30)) + f" own{i}" for i in range(n)]
+    texts = [f"{own[i]}" + f" {most}" * (i % 20 < 17) + f" x{i} {many}" * (i % 4 < 3) for i in range(n)]
+    rows = [(i, f"http://h.net/{i}", f"<article>{x}</article>") for i, x in enumerate(texts)]
+    rows += [(n + i, f"http://h.net/copy{i}", f"<article>{texts[3]}</article>") for i in range(1500)]
+    # What all of few articles repeat in every block, as copies, is no notice of eight articles.
+    rows += [(10_000 + i, f"http://g.net/{i}", f"<article>{most} {i % 7}</article>") for i in range(2000)]
+    found = {r.page_id: r.text for r in host_boilerplate.main_text(pages(spark, rows)).collect()}
+    assert [found[i] for i in range(n)] == [t.replace(f" {most}", "") for t in texts]
+    assert {found[n + i] for i in range(1500)} == {texts[3].replace(f" {most}", "")}
+    assert [found[10_000 + i] for i in range(2000)] == [f"{most} {i % 7}" for i in range(2000)]
+
+
 # Chats
 
 
