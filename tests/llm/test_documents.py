@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from gustline.llm import bloom_lm, decontaminate, fertility, fuzzy_lines, mixing, simhash_docs, substring_dedup
 from gustline.llm.buckets import pack, unpack
-from gustline.llm.components import components
+from gustline.llm.components import bucket_components, components
 
 LAYOUT = "doc_id long, text string, lang string, source string, n_chars long, id long, digest string, bucket int"
 RND = random.Random(7)
@@ -400,6 +400,27 @@ def test_most_similar_lines_are_linked(spark):
         assert len(similar) >= 20 and linked >= 0.9 * len(similar), (n, linked, len(similar))
 
 
+def test_pairs_are_checked_once(spark):
+    """Members of shared buckets of whom few are linked: no pair is given to the check twice, and none that counts is left out."""
+    rnd, seen = random.Random(3), []
+    buckets = [rnd.sample(range(40), rnd.randint(2, 6)) for _ in range(30)]
+    members = spark.createDataFrame([(k, i, i) for k, ids in enumerate(buckets) for i in ids], "key long, id long, bits long")
+
+    def check(pairs):
+        seen.extend((max(r), min(r)) for r in pairs.collect())
+        return pairs.where("(a + b) % 7 = 0")
+
+    found = {r.id: r.component for r in bucket_components(members, F.lit(True), check).collect()}
+    assert len(seen) == len(set(seen)) > 40
+    root = {i: i for i in range(40)}
+    for _ in range(40):
+        for ids in buckets:
+            for a, b in combinations(ids, 2):
+                if (a + b) % 7 == 0:
+                    root[a] = root[b] = min(root[a], root[b])
+    assert found == {i: r for i, r in root.items() if r != i or i in {q for p, q in root.items() if p != q}}
+
+
 def test_bytes_that_are_no_text(spark):
     """Strings that hold bytes which are not UTF-8, as Spark lets them."""
     rows = spark.createDataFrame([(1, bytearray(b"one \xff two three"),), (2, bytearray(b"\xc3")), (3, bytearray(b"word " * 60 + b"\xfe"))], "doc_id long, raw binary")
