@@ -421,6 +421,51 @@ def test_pairs_are_checked_once(spark):
     assert found == {i: r for i, r in root.items() if r != i or i in {q for p, q in root.items() if p != q}}
 
 
+def test_lines_that_share_frequent_words_are_not_checked(spark, monkeypatch):
+    """Groups of lines with a block, a length and least words in common of which few are similar: their pairs are not all checked, and none that are similar are lost."""
+    rnd, given = random.Random(21), []
+    made = sorted({"".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(6000)}, key=lambda w: least_hashes([w])[0])
+    lines = []
+    for _ in range(30):
+        lines.append(made[:20] + rnd.sample(made[1000:], 80))
+        lines.append(["a", "b", "c", "d", "e"] + [x * 2 for x in rnd.sample(made[1000:], 3)])
+    lines += [[*lines[40][:-3], *made[1000:1003]], [*lines[41][:-1], lines[41][-1][:-1] + "z"]]
+    similar = fuzzy_lines._similar
+
+    def counted(pairs, *more):
+        given.append(pairs.count())
+        return similar(pairs, *more)
+
+    monkeypatch.setattr(fuzzy_lines, "_similar", counted)
+    docs = documents(spark, [(i, " ".join(words), "") for i, words in enumerate(lines)])
+    assert {r.doc_id: r.kept_doc_id for r in fuzzy_lines.line_groups(docs).collect()} == {60: 40, 61: 41}
+    assert sum(given) <= 2 * len(lines)
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_nearest_pairs_are_checked_first(spark, seed):
+    """Members with details: components are those of all links that may hold, and pairs of components that are tied are not checked again."""
+    rnd, seen = random.Random(seed), []
+    buckets = [rnd.sample(range(40), rnd.randint(2, 9)) for _ in range(30)]
+    members = spark.createDataFrame([(k, i, i) for k, ids in enumerate(buckets) for i in ids], "key long, id long, bits long")
+    details = spark.createDataFrame([(i, i % 13) for i in range(40)] * 2, "id long, detail long")
+
+    def check(pairs):
+        seen.extend((max(r), min(r)) for r in pairs.collect())
+        return pairs.where("(a + b) % 7 = 0")
+
+    gap = F.abs(F.col("p") - F.col("q"))
+    found = {r.id: r.component for r in bucket_components(members, F.lit(True), check, details, (gap <= 9) | ((F.col("x") + F.col("y")) % 7 == 0), gap).collect()}
+    assert len(seen) == len(set(seen)) > 20
+    root = {i: i for i in range(40)}
+    for _ in range(40):
+        for ids in buckets:
+            for a, b in combinations(ids, 2):
+                if (a + b) % 7 == 0:
+                    root[a] = root[b] = min(root[a], root[b])
+    assert found == {i: r for i, r in root.items() if r != i or i in {q for p, q in root.items() if p != q}}
+
+
 def test_bytes_that_are_no_text(spark):
     """Strings that hold bytes which are not UTF-8, as Spark lets them."""
     rows = spark.createDataFrame([(1, bytearray(b"one \xff two three"),), (2, bytearray(b"\xc3")), (3, bytearray(b"word " * 60 + b"\xfe"))], "doc_id long, raw binary")
