@@ -443,8 +443,8 @@ def test_lines_that_share_frequent_words_are_not_checked(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("seed", [4, 5])
-def test_nearest_pairs_are_checked_first(spark, seed):
-    """Members with details: components are those of all links that may hold, and pairs of components that are tied are not checked again."""
+def test_details_lose_no_pairs(spark, seed):
+    """Members with details, some given twice: components are those of all links that may hold, and no pair is checked twice."""
     rnd, seen = random.Random(seed), []
     buckets = [rnd.sample(range(40), rnd.randint(2, 9)) for _ in range(30)]
     members = spark.createDataFrame([(k, i, i) for k, ids in enumerate(buckets) for i in ids], "key long, id long, bits long")
@@ -455,7 +455,7 @@ def test_nearest_pairs_are_checked_first(spark, seed):
         return pairs.where("(a + b) % 7 = 0")
 
     gap = F.abs(F.col("p") - F.col("q"))
-    found = {r.id: r.component for r in bucket_components(members, F.lit(True), check, details, (gap <= 9) | ((F.col("x") + F.col("y")) % 7 == 0), gap).collect()}
+    found = {r.id: r.component for r in bucket_components(members, F.lit(True), check, details, (gap <= 9) | ((F.col("x") + F.col("y")) % 7 == 0)).collect()}
     assert len(seen) == len(set(seen)) > 20
     root = {i: i for i in range(40)}
     for _ in range(40):
