@@ -364,6 +364,51 @@ def near_by_words(a, b):
     return max(len(s), len(t)) > 1500 or distance(s, t) + 1 <= 0.2 * max(len(a), len(b))
 
 
+def edited_long_lines():
+    """Pairs of similar lines: one keeps no block among the least words of the other, one has over 1,000 characters and a letter changed in a quarter of the words."""
+    rnd = random.Random(31)
+    words = sorted({"".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(400)}, key=lambda w: least_hashes([w])[0])
+    line, other = words[:60], words[:60]
+    for k in (2, 5, 8, 11):
+        other[k] = words[100 + k]
+    first = [{majority(c[k : k + 3]) for k in range(12)} for c in (least_hashes(line), least_hashes(other))]
+    assert not first[0] & first[1]
+    long = [rnd.choice(words) + rnd.choice(words) for _ in range(200)]
+    typed = [w[:-1] + "z" if k % 4 == 0 else w for k, w in enumerate(long)]
+    return [(" ".join(line), " ".join(other)), (" ".join(long), " ".join(typed))]
+
+
+def test_blocks_reach_all_words_and_long_lines_are_compared_by_characters(spark):
+    """Similar lines are linked wherever they differ, and a line's length does not decide how near others must be."""
+    pairs = edited_long_lines()
+    docs = documents(spark, [(2 * i + j, text, "") for i, pair in enumerate(pairs) for j, text in enumerate(pair)])
+    assert {r.doc_id: r.kept_doc_id for r in fuzzy_lines.line_groups(docs).collect()} == {1: 0, 3: 2}
+
+
+@pytest.mark.parametrize("seed", [6, 7])
+def test_all_buckets_take_part(spark, seed):
+    """Members that have only some of their buckets in the first part: the second part looks at all of them."""
+    rnd = random.Random(seed)
+    buckets = [rnd.sample(range(40), rnd.randint(2, 7)) for _ in range(40)]
+    members = spark.createDataFrame([(k, i, i) for k, ids in enumerate(buckets[:8]) for i in ids], "key long, id long, bits long")
+    of_each = [(i, i, [k for k, ids in enumerate(buckets) if i in ids] * 2) for i in range(40)]
+    every = spark.createDataFrame(of_each, "id long, bits long, keys array<long>")
+    details = spark.createDataFrame([(i, i % 13) for i in range(40)], "id long, detail long")
+
+    def check(pairs):
+        return pairs.where("(a + b) % 7 = 0")
+
+    gap = (F.abs(F.col("p") - F.col("q")) <= 9) | ((F.col("x") + F.col("y")) % 7 == 0)
+    found = {r.id: r.component for r in bucket_components(members, F.lit(True), check, lambda ids: details.join(ids, "id"), gap, every).collect()}
+    root = {i: i for i in range(40)}
+    for _ in range(40):
+        for ids in buckets:
+            for a, b in combinations(ids, 2):
+                if (a + b) % 7 == 0:
+                    root[a] = root[b] = min(root[a], root[b])
+    assert found == {i: r for i, r in root.items() if r != i or i in {q for p, q in root.items() if p != q}}
+
+
 def test_distances_are_exact(spark):
     rnd = random.Random(8)
     rows = []
