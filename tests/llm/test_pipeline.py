@@ -3,6 +3,7 @@
 import pytest
 from compare import differences, second_engine
 from conftest import SMALL
+from test_documents import edited_long_lines
 
 import __spark_entry__
 import corpus_pipeline
@@ -61,3 +62,13 @@ def test_the_pipeline_does_what_its_operators_say(spark):
     assert counted == {i: n for i, n in taken.items() if n}
     whole = corpus_pipeline.run(spark, SMALL)
     assert sorted(r.mix_order for r in whole.collect()) == sorted(r.mix_order for r in mixed.collect())
+
+
+def test_line_dedup_drops_long_lines_that_are_edited(spark):
+    """The stage links similar lines that share no block among their least words, and long ones whose words are many but near."""
+    pairs = edited_long_lines()
+    ends = ["granite river", "copper lantern", "violet harbour", "silent meadow"]
+    rows = [(k, f"{text}\n{ends[k]}", 1) for k, text in enumerate(sum(pairs, ()))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    left = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, SMALL).collect()}
+    assert [left[k].count("\n") for k in range(4)] == [1, 0, 1, 0]
